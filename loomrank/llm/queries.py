@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from loomrank.llm import line_dedup, mixing, quality_rules, sharding, token_records
+from loomrank.llm import line_dedup, mixing, quality_rules, sharding, simhash_dedup, token_records
 
 QUERIES = {
+    "op1_simhash_near_dedup": simhash_dedup.op1_simhash_near_dedup,
     "op3_sharding": sharding.op3_sharding,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_quality_rules": quality_rules.op7_quality_rules,
