@@ -62,13 +62,17 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None, temperature:
 
 
 def mix(docs: DataFrame, rates: DataFrame, seed: str = "mix") -> DataFrame:
-    """docs, each row as often as its draw says, with copy_no and mix_key, in ascending order of mix_key."""
-    r = rates.select(F.col("source").alias("_source"), F.col("cdf").alias("_cdf"))
-    u = uniform(F.col("doc_id"), seed)
-    drawn = docs.join(r, docs["source"].eqNullSafe(r["_source"])).withColumn("_n", F.size(F.filter("_cdf", lambda c: c <= u)))
-    copies = drawn.where("_n > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_source", "_cdf", "_n")
-    key = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy_no")))
-    return copies.withColumn("mix_key", F.conv(F.substring(key, 1, 15), 16, 10).cast("long")).orderBy("mix_key", "doc_id", "copy_no")
+    """docs, each row as often as its draw says, with copy_no and mix_key, in ascending order of mix_key. Columns of these
+    two names in the input are replaced."""
+    docs = docs.drop("copy_no", "mix_key")
+    r = rates.select(F.col("source").alias("_s"), F.col("cdf").alias("_cdf"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_id"), F.col("source").alias("_source"))
+    n = F.size(F.filter("_cdf", lambda c: c <= uniform(F.col("_id"), seed)))
+    drawn = rows.join(r, rows["_source"].eqNullSafe(r["_s"])).select("row", "_id", n.alias("_n")).where("_n > 0")
+    copies = drawn.select("row", "_id", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("copy_no"))
+    key = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col("_id").cast("string"), F.lit("null")), F.col("copy_no")))
+    keyed = copies.withColumn("mix_key", F.conv(F.substring(key, 1, 15), 16, 10).cast("long"))
+    return keyed.orderBy("mix_key", "_id", "copy_no").select("row.*", "copy_no", "mix_key")
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:
