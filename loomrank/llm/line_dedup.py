@@ -20,7 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomrank.llm.common import written
+
 WIDTH = 3
+#: The covered positions are broadcast up to this size, so that texts need not move; above it both sides are shuffled.
+MOST_BROADCAST_BYTES = 64 << 20
 
 
 def windows_of(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -48,7 +52,10 @@ def _merged(spans: Column, width: int) -> Column:
 
 def dedup_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_lines, n_removed, kept_text."""
-    spans = covered_lines(docs, width).withColumnRenamed("doc_id", "_id")
+    spans = written(covered_lines(docs, width), "line-spans").withColumnRenamed("doc_id", "_id")
+    held = spans.agg(F.count("*"), F.sum(F.size("spans"))).first()
+    if held[0] * 40 + (held[1] or 0) * 4 <= MOST_BROADCAST_BYTES:
+        spans = F.broadcast(spans)
     lines = F.split("text", "\n", -1)
     joined = docs.select("doc_id", "text").join(spans, F.col("doc_id") == F.col("_id"), "left")
     marked = joined.select("doc_id", "text", lines.alias("lines"), F.map_from_arrays(_merged(F.col("spans"), width), F.transform(_merged(F.col("spans"), width), lambda x: F.lit(True))).alias("cover"))
