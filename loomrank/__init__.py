@@ -1 +1 @@
-"""Spark-native engine for weak relevance labels."""
+"""Spark-native engine that makes graded relevance labels and training triples for retrieval."""

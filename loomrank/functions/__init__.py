@@ -1 +1 @@
-"""Spark-native engine for weak relevance labels."""
+"""Column expressions."""

@@ -1 +1 @@
-"""Spark-native engine for weak relevance labels."""
+"""Relational operators: passages, ranking, sampling, judging, mining."""

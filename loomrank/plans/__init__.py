@@ -1 +1 @@
-"""Spark-native engine for weak relevance labels."""
+"""Pipelines, configuration and the registered queries."""

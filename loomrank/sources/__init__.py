@@ -1 +1 @@
-"""Spark-native engine for weak relevance labels."""
+"""Readers and writers with explicit schemas."""

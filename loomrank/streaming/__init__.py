@@ -1 +1 @@
-"""Spark-native engine for weak relevance labels."""
+"""Incremental and streaming runs."""
