@@ -21,9 +21,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomrank.llm.common import MULT, MULT2, as_bytes
+from loomrank.llm.common import MULT, MULT2, as_bytes, bound_batches
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
+#: Blocks (and buckets) that share a shuffle partition at most; each is worked off alone.
+BLOCKS_IN_PARTITION = 64
 HEAD = struct.Struct("<II")
 Columns = list[np.ndarray]
 
@@ -60,9 +62,9 @@ def block_rows(block: int, keys: np.ndarray, values: Columns, buckets: int) -> p
 
 
 def gathered(table: pa.Table | None) -> tuple[np.ndarray, Columns]:
-    """All keys of the packed rows of a block, sorted."""
-    parts = [unpack(x) for x in table.column("data").to_pylist()] if table is not None else []
-    parts = sorted((p for p in parts if len(p[0])), key=lambda p: p[0][0])
+    """All answers to a block in the order of buckets, which is that of keys."""
+    rows = sorted(zip(table.column("bucket").to_pylist(), table.column("data").to_pylist(), strict=True)) if table is not None else []
+    parts = [unpack(data) for _, data in rows]
     if not parts:
         return np.zeros(0, dtype=np.uint64), []
     return np.concatenate([p[0] for p in parts]), [np.concatenate(c) for c in zip(*(p[1] for p in parts), strict=True)]
@@ -85,46 +87,54 @@ def look_up(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_hashes(texts: list[bytes | None]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    """Words of each text, hashes of all words, and the text of each."""
-    lists = [t.split() if t else [] for t in texts]
-    counts = np.fromiter(map(len, lists), np.int64, len(lists))
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for ws in lists for w in ws), np.uint64, int(counts.sum()))
-    return lists, hashes, np.repeat(np.arange(len(lists)), counts)
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and the text of each."""
+    parts = []
+    for text in texts:
+        words = text.split() if text else []
+        parts.append(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)))
+    hashes = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
+    return hashes, np.repeat(np.arange(len(texts), dtype=np.int32), [len(p) for p in parts])
 
 
 class Blocks:
     """docs(doc_id, text) dealt into blocks, and the exchange of keys between them."""
 
     def __init__(self, docs: DataFrame, block_bytes: int = BLOCK_BYTES):
+        bound_batches(docs.sparkSession)
         total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         session = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        self.n_blocks = max(1, -(-total // block_bytes))
-        self.buckets = max(min(session, 4 * self.n_blocks), self.n_blocks // 2)
-        self.parts = self.n_blocks
+        self.n_blocks = self.buckets = max(1, -(-total // block_bytes))
+        self.parts = max(min(session, self.n_blocks), -(-self.n_blocks // BLOCKS_IN_PARTITION))
         block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(self.n_blocks))
         self.rows = docs.select(block.alias("block"), F.col("doc_id").cast("long").alias("doc_id"), "text").repartition(self.parts, "block")
 
-    def exchange(self, asked: DataFrame, reduce: Callable[[np.ndarray, Columns], tuple[np.ndarray, np.ndarray, Columns]]) -> DataFrame:
-        """Answers (block, data) to rows (bucket, block, data). reduce(keys, values), over all rows of a bucket, gives the
-        sorted distinct keys, which of them to answer, and their values."""
+    def exchange(self, asked: DataFrame, reduce: Callable[[np.ndarray, Columns], tuple[np.ndarray, np.ndarray, Columns]], aligned: bool = False) -> DataFrame:
+        """Answers (block, bucket, data) to rows (bucket, block, data). reduce(keys, values), over all rows of a bucket, gives
+        the sorted distinct keys, which of them to answer, and their values. An answer holds the keys it is about; an
+        `aligned` one holds values alone, in the order of the keys asked for, 0 for those not answered, and is for a
+        block that works its keys out again."""
 
         def run(table: pa.Table) -> pa.Table:
-            blocks = table.column("block").to_pylist()
+            blocks, bucket = table.column("block").to_pylist(), table.column("bucket")[0].as_py()
             parts = [unpack(x) for x in table.column("data").to_pylist()]
             keys = np.concatenate([p[0] for p in parts])
             distinct, wanted, values = reduce(keys, [np.concatenate(c) for c in zip(*(p[1] for p in parts), strict=True)])
             to, data = [], []
             for block, (own, _) in zip(blocks, parts, strict=True):
                 at = np.searchsorted(distinct, own)
-                at = at[wanted[at]]
-                if len(at):
+                if aligned:
                     to.append(block)
-                    data.append(pack(distinct[at], [v[at] for v in values]))
-            return pa.table({"block": pa.array(to, pa.int64()), "data": pa.array(data, pa.binary())})
-
-        dealt = asked.repartition(self.buckets, "bucket")
-        return dealt.groupBy("bucket").applyInArrow(run, "block long, data binary").repartition(self.parts, "block")
+                    data.append(pack(np.zeros(len(own), dtype=np.uint64), [np.where(wanted[at], v[at], 0) for v in values]))
+                else:
+                    at = at[wanted[at]]
+                    if len(at):
+                        to.append(block)
+                        data.append(pack(distinct[at], [v[at] for v in values]))
+            return pa.table({"block": pa.array(to, pa.int64()), "bucket": pa.array([bucket] * len(to), pa.int32()), "data": pa.array(data, pa.binary())})
+
+        dealt = asked.repartition(self.parts, "bucket")
+        return dealt.groupBy("bucket").applyInArrow(run, "block long, bucket int, data binary").repartition(self.parts, "block")
 
     def ask(self, summarise: Callable[[list, list, pa.Table | None], tuple[np.ndarray, Columns]], answers: DataFrame | None = None) -> DataFrame:
         """Rows (bucket, block, data) of the keys that each block gives out, with the answers it has got before."""

@@ -45,12 +45,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
 # ---------------------------------------------------------------- arrow
 
 
+def bound_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Lower the session's Arrow batches to so many rows: a batch of whole texts is held twice, in Spark and in Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """The values of a string column as UTF-8 bytes."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
-def chunks(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def chunks(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about most_bytes of the column (a longer text stays alone)."""
     for batch in batches:
         text = batch.column(batch.schema.get_field_index(column))

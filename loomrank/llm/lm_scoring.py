@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomrank.llm.blocks import Blocks, gathered, look_up, mixed, runs, word_hashes
+from loomrank.llm.blocks import BLOCK_BYTES, Blocks, gathered, mixed, runs, word_hashes
 from loomrank.llm.common import MULT
 
 TOTAL = np.uint64(0)  # the key under which all words are counted
@@ -37,16 +37,22 @@ def ngram_keys(hashes: np.ndarray, owner: np.ndarray, order: int) -> list[tuple[
             grams = (grams[:-1] * MULT + hashes[n - 1 :]) if len(grams) > 1 else grams[:0]
         inside = owner[: len(grams)] == owner[n - 1 :] if len(grams) else np.zeros(0, dtype=bool)
         at = np.flatnonzero(inside)
-        out.append((mixed(grams[at] + np.uint64(n)), at + n - 1))
+        out.append((np.maximum(mixed(grams[at] + np.uint64(n)), TOTAL + np.uint64(1)), at + n - 1))
     return out
 
 
-def score_corpus(docs: DataFrame, order: int = ORDER, least_count: int = LEAST_COUNT, backoff: float = BACKOFF, block_bytes: int = 16 << 20) -> DataFrame:
+def distinct_keys(grams: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The key of the total, and the sorted distinct keys of a block."""
+    keys = np.sort(np.concatenate([k for k, _ in grams]))
+    return np.concatenate([[TOTAL], keys[runs(keys)]])
+
+
+def score_corpus(docs: DataFrame, order: int = ORDER, least_count: int = LEAST_COUNT, backoff: float = BACKOFF, block_bytes: int = 2 * BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_backoff (positions not scored by the longest context they have), score."""
     blocks = Blocks(docs, block_bytes)
 
     def summarise(ids, texts, _):
-        _, hashes, owner = word_hashes(texts)
+        hashes, owner = word_hashes(texts)
         keys = np.sort(np.concatenate([k for k, _ in ngram_keys(hashes, owner, order)]))
         at = runs(keys)
         counts = np.diff(np.append(at, len(keys)))
@@ -60,18 +66,17 @@ def score_corpus(docs: DataFrame, order: int = ORDER, least_count: int = LEAST_C
         return keys[at], (total >= least_count) | (keys[at] == TOTAL), [total]
 
     def conclude(ids, texts, got):
-        keys, values = gathered(got)
-        _, hashes, owner = word_hashes(texts)
+        hashes, owner = word_hashes(texts)
         n_docs, n_words = len(texts), len(hashes)
+        grams = ngram_keys(hashes, owner, order)
+        keys = distinct_keys(grams)
+        (values,) = gathered(got)[1]
 
         def counts(wanted):
-            row = look_up(keys, wanted)
-            return np.where(row >= 0, values[0][row] if len(keys) else 1, 0).astype(np.float64)
+            return values[np.searchsorted(keys, wanted)].astype(np.float64)
 
-        all_words = counts(np.array([TOTAL]))[0]
-        grams = ngram_keys(hashes, owner, order)
-        shorter = np.maximum(counts(grams[0][0]), 1.0)  # a word not answered is one counted once
-        score = np.log10(shorter) - np.log10(all_words) if n_words else np.zeros(0)
+        shorter = np.maximum(counts(grams[0][0]), 1.0)  # a word without an answer is one counted once
+        score = np.log10(shorter) - np.log10(max(1.0, float(values[0])))
         missed = np.zeros(n_words, dtype=bool)
         context = shorter
         for found, last in grams[1:]:
@@ -89,7 +94,7 @@ def score_corpus(docs: DataFrame, order: int = ORDER, least_count: int = LEAST_C
         }
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_backoff", pa.int64()), ("score", pa.float64())])
-    answers = blocks.exchange(blocks.ask(summarise), reduce)
+    answers = blocks.exchange(blocks.ask(summarise), reduce, aligned=True)
     return blocks.finish(conclude, answers, schema, "doc_id long, n_words long, n_backoff long, score double")
 
 

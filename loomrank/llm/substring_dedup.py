@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomrank.llm.blocks import Blocks, gathered, least_and_most, look_up, mixed, word_hashes
+from loomrank.llm.blocks import BLOCK_BYTES, Blocks, gathered, least_and_most, look_up, mixed, word_hashes
 from loomrank.llm.common import MULT, MULT2
 
 WINDOW = 50
@@ -48,7 +48,7 @@ def first_level(hashes: np.ndarray, owner: np.ndarray, n_docs: int) -> tuple[Lev
     names = np.zeros(len(hashes) + n_docs + 1, dtype=np.uint64)
     wall = np.ones(len(names), dtype=bool)
     names[place], wall[place] = hashes, False
-    at = np.arange(len(names))
+    at = np.arange(len(names), dtype=np.int32)
     return Level(names, at, at + 1, wall), place
 
 
@@ -132,7 +132,7 @@ def window_hashes(hashes: np.ndarray, starts: np.ndarray, window: int) -> np.nda
     return mixed((sums[starts + window] - sums[starts]) * powers(inverse, n)[starts])
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, block_bytes: int = 16 << 20) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text."""
     blocks = Blocks(docs, block_bytes)
 
@@ -142,7 +142,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, block_bytes: int = 1
         return number, np.array([i is not None for i in ids], dtype=bool)[owner[starts]]
 
     def give_anchors(ids, texts, _):
-        _, hashes, owner = word_hashes(texts)
+        hashes, owner = word_hashes(texts)
         starts, keys = anchors(hashes, owner, len(texts), window)
         number, has = known(ids, owner, starts)
         change = np.concatenate([[True], (keys[1:] != keys[:-1]) | (number[1:] != number[:-1])]) & has if len(keys) else has
@@ -155,7 +155,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, block_bytes: int = 1
 
     def give_windows(ids, texts, got):
         shared, _ = gathered(got)
-        _, hashes, owner = word_hashes(texts)
+        hashes, owner = word_hashes(texts)
         starts, keys = anchors(hashes, owner, len(texts), window)
         number, has = known(ids, owner, starts)
         wanted = (look_up(shared, keys) >= 0) & has
@@ -164,7 +164,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, block_bytes: int = 1
 
     def conclude(ids, texts, got):
         keys, values = gathered(got)
-        lists, hashes, owner = word_hashes(texts)
+        hashes, owner = word_hashes(texts)
         n_docs = len(texts)
         gone = np.zeros(len(hashes), dtype=bool)
         if len(keys) and len(hashes) >= window:
@@ -175,15 +175,15 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, block_bytes: int = 1
             edge = np.bincount(later, minlength=len(hashes) + 1) - np.bincount(later + window, minlength=len(hashes) + 1)
             gone = np.cumsum(edge[:-1]) > 0
         removed = np.bincount(owner, weights=gone, minlength=n_docs).astype(np.int64)
+        size = np.bincount(owner, minlength=n_docs)
         begin, kept = 0, []
-        for words, n in zip(lists, removed.tolist(), strict=True):
+        for text, n, all_words in zip(texts, removed.tolist(), size.tolist(), strict=True):
+            words = text.split() if text else []
             if n:
-                words_kept = [w for w, g in zip(words, gone[begin : begin + len(words)].tolist(), strict=True) if not g]
-            else:
-                words_kept = words
-            begin += len(words)
-            kept.append(b" ".join(words_kept).decode("utf-8", "replace"))
-        return {"doc_id": ids, "n_words": [len(x) for x in lists], "n_removed": removed, "kept_text": kept}
+                words = [w for w, g in zip(words, gone[begin : begin + all_words].tolist(), strict=True) if not g]
+            begin += all_words
+            kept.append(b" ".join(words).decode("utf-8", "replace"))
+        return {"doc_id": ids, "n_words": size, "n_removed": removed, "kept_text": kept}
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
     shared = blocks.exchange(blocks.ask(give_anchors), reduce)
