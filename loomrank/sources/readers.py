@@ -78,7 +78,7 @@ def triples(spark: SparkSession, path: str) -> DataFrame:
 
 def page_texts(spark: SparkSession, root: str) -> DataFrame:
     """(doc_id, text) of root/<topic>/pages/<stem>.txt: topic__stem and the stripped text."""
-    files = spark.read.option("wholetext", True).text(f"{root}/*/pages/*.txt").select("value", F.col("_metadata.file_path").alias("path"))
+    files = spark.read.text(f"{root}/*/pages/*.txt", wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
     place = lambda i: F.url_decode(F.regexp_extract("path", r"([^/]+)/pages/([^/]+)\.txt$", i))
     return files.select(F.concat_ws("__", place(1), place(2)).alias("doc_id"), tx.strip(F.col("value")).alias("text"))
 
