@@ -8,8 +8,10 @@ corpus order, so that they do not depend on the order of summation.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -68,38 +70,62 @@ def small(df: DataFrame, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
 
 
 class Index:
-    """Tables of an inverted index: postings, term_df, stats and the passages themselves."""
+    """An inverted index: passages with their terms, corpus statistics, and postings.
 
-    def __init__(self, passages: DataFrame, post: DataFrame, dfs: DataFrame, stats: DataFrame, rule: Bm25):
-        self.passages, self.postings, self.term_df, self.stats, self.rule = passages, post, dfs, stats, rule
+    A `stored` index reads postings and document frequencies from tables sorted by term; one made `over` passages draws the
+    postings of the terms asked for from the passages' terms, in one pass for each set of queries.
+    """
+
+    def __init__(self, tokens: DataFrame, rule: Bm25, stats: DataFrame | None = None, post: DataFrame | None = None, dfs: DataFrame | None = None):
+        self.tokens, self.rule, self._post, self._dfs = tokens, rule, post, dfs
+        self.stats = corpus_stats(tokens) if stats is None else stats
+
+    @property
+    def passages(self) -> DataFrame:
+        return self.tokens
+
+    @property
+    def postings(self) -> DataFrame:
+        return postings(self.tokens) if self._post is None else self._post
+
+    @property
+    def term_df(self) -> DataFrame:
+        return term_df(self.tokens) if self._dfs is None else self._dfs
+
+    def postings_of(self, terms: DataFrame) -> DataFrame:
+        """Postings of terms(term), a small table."""
+        return postings(self.tokens, terms) if self._post is None else self._post.join(terms, "term", "left_semi")
+
+    def df_of(self, terms: DataFrame) -> DataFrame:
+        """(term, df) of terms(term); the exchange of the postings is shared with `postings_of`."""
+        if self._dfs is not None:
+            return self._dfs.join(terms, "term", "left_semi")
+        return self.postings_of(terms).groupBy("term").agg(F.count("*").alias("df"))
 
     @staticmethod
-    def over(passages: DataFrame, rule: Bm25 = DEFAULT) -> Index:
-        """An index that is computed where it is used."""
+    def over(passages: DataFrame, rule: Bm25 = DEFAULT, write: Callable[[DataFrame], DataFrame] | None = None) -> Index:
+        """write: puts the passages with their terms down and reads them back, so that no query works them out again."""
         tokens = tokenized(passages, rule)
-        return Index(passages, postings(tokens), term_df(tokens), corpus_stats(tokens), rule)
+        return Index(write(tokens) if write is not None else tokens, rule)
 
     @staticmethod
     def build(passages: DataFrame, path: str, rule: Bm25 = DEFAULT) -> Index:
         """Write the tables under path and read them again. A manifest holds the parameters and a fingerprint of the
         passages; `open` refuses tables that were made for others."""
         spark = passages.sparkSession
-        passages.write.mode("overwrite").parquet(f"{path}/passages")
-        kept = spark.read.schema(passages.schema).parquet(f"{path}/passages")
-        tokens = tokenized(kept, rule).select("doc_pos", "chunk_idx", "terms", "dl")
-        tokens.write.mode("overwrite").parquet(f"{path}/tokens")
-        tokens = spark.read.schema(tokens.schema).parquet(f"{path}/tokens")
+        tokenized(passages, rule).write.mode("overwrite").parquet(f"{path}/tokens")
+        tokens = spark.read.parquet(f"{path}/tokens")
         postings(tokens).repartition("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
         term_df(tokens).write.mode("overwrite").parquet(f"{path}/term_df")
         corpus_stats(tokens).write.mode("overwrite").parquet(f"{path}/stats")
-        manifest = json.dumps({"rule": asdict(rule), "passages": fingerprint(passages)}, sort_keys=True)
+        manifest = json.dumps({"rule": asdict(rule), "passages": fingerprint(tokens)}, sort_keys=True)
         spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
         return Index._read(spark, path, rule)
 
     @staticmethod
     def _read(spark: SparkSession, path: str, rule: Bm25) -> Index:
         read = spark.read.parquet
-        return Index(read(f"{path}/passages"), read(f"{path}/postings"), read(f"{path}/term_df"), read(f"{path}/stats"), rule)
+        return Index(read(f"{path}/tokens"), rule, read(f"{path}/stats"), read(f"{path}/postings"), read(f"{path}/term_df"))
 
     @staticmethod
     def open(passages: DataFrame, path: str, rule: Bm25 = DEFAULT) -> Index:
@@ -107,7 +133,7 @@ class Index:
         spark = passages.sparkSession
         try:
             found = spark.read.text(f"{path}/manifest").first()
-        except Exception:  # noqa: BLE001  no such path
+        except AnalysisException:  # no such path
             found = None
         wanted = json.dumps({"rule": asdict(rule), "passages": fingerprint(passages)}, sort_keys=True)
         return Index._read(spark, path, rule) if found is not None and found[0] == wanted else Index.build(passages, path, rule)
@@ -116,12 +142,13 @@ class Index:
         """(query_id, doc_pos, chunk_idx, bm25_score, matched, shared): all hits. matched: sum of query counts times passage
         counts of common terms; shared: sum of idf of the distinct common terms."""
         terms = small(query_terms(queries, self.rule))
-        weights = terms.join(self.term_df, "term").crossJoin(F.broadcast(self.stats))  # stats is one row
-        weights = small(weights.select("query_id", "term", "qtf", idf(F.col("n_docs"), F.col("df")).alias("idf"), "avgdl"))
+        only = small(query_terms(queries, self.rule).select("term").distinct())
+        weights = terms.join(self.df_of(only), "term").crossJoin(F.broadcast(self.stats))  # stats is one row
+        weights = weights.select("query_id", "term", "qtf", idf(F.col("n_docs"), F.col("df")).alias("idf"), "avgdl")
         tf, dl = F.col("tf"), F.col("dl")
         k1, b = F.lit(float(self.rule.k1)), F.lit(float(self.rule.b))
         weight = F.col("qtf") * F.col("idf") * tf / (tf + k1 * (F.lit(1.0) - b + b * dl / F.col("avgdl")))
-        joined = self.postings.join(weights, "term")
+        joined = self.postings_of(only).join(weights, "term")
         sums = joined.groupBy("query_id", "doc_pos", "chunk_idx").agg(F.sum(weight).alias("bm25_score"), F.sum(F.col("qtf") * tf).alias("matched"), F.sum("idf").alias("shared"))
         return sums.withColumn("bm25_score", F.round("bm25_score", 6))
 

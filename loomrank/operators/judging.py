@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomrank.functions import text as tx
+from loomrank.session import share_code
 
 LEAST_TOKENS = 30
 POSITIVE_SCORE = 3
@@ -112,6 +113,7 @@ class ChatJudge:
     concurrency: int = 20
 
     def answers(self, pairs: DataFrame) -> DataFrame:
+        share_code(pairs.sparkSession)
         url, timeout, concurrency = self.url, self.timeout, self.concurrency
 
         def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from loomrank.functions import vector
 from loomrank.operators import bm25
+from loomrank.session import share_code
 
 PASSAGE = ["doc_pos", "chunk_idx"]
 
@@ -34,6 +35,7 @@ class PairScorer(Protocol):
 
 def embedded(texts: DataFrame, embedder: Embedder, column: str = "text") -> DataFrame:
     """texts with an `embedding` column. Rows are sorted by length inside partitions, so a batch holds texts of like size."""
+    share_code(texts.sparkSession)
 
     @F.pandas_udf("array<float>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -52,6 +54,7 @@ def embedded_queries(queries: DataFrame, embedder: Embedder) -> DataFrame:
 
 def pair_scored(pairs: DataFrame, scorer: PairScorer) -> DataFrame:
     """pairs(query, text, ...) with a `ce_score` column rounded to six decimals."""
+    share_code(pairs.sparkSession)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -91,7 +94,9 @@ def term_cosine_top(hits: DataFrame, index: bm25.Index, queries: DataFrame, k: i
 
 def query_weight(index: bm25.Index, queries: DataFrame) -> DataFrame:
     """(query_id, weight): sum of idf over the distinct terms of each query, known to the corpus or not."""
-    terms = bm25.small(bm25.query_terms(queries, index.rule)).join(index.term_df, "term", "left").crossJoin(F.broadcast(index.stats))  # one row
+    asked = bm25.query_terms(queries, index.rule)
+    only = bm25.small(asked.select("term").distinct())
+    terms = bm25.small(asked).join(index.df_of(only), "term", "left").crossJoin(F.broadcast(index.stats))  # one row
     return terms.groupBy("query_id").agg(F.sum(bm25.idf(F.col("n_docs"), F.coalesce("df", F.lit(0)))).alias("weight"))
 
 

@@ -44,7 +44,7 @@ class Cascade:
 
 def lexical(index: bm25.Index, queries: DataFrame, k: int) -> DataFrame:
     """BM25 hits with their texts and terms."""
-    text = index.passages.select("doc_pos", "chunk_idx", "doc_id", "text", bm25.tx.terms(F.col("text"), index.rule.stop_words).alias("terms"))
+    text = index.tokens.select("doc_pos", "chunk_idx", "doc_id", "text", "terms")
     return index.top(queries, k).join(text, ranking.PASSAGE)
 
 

@@ -14,6 +14,7 @@ from loomrank.functions import text as tx
 from loomrank.functions import vector
 from loomrank.operators import bm25, judging, mining, passages, ranking
 from loomrank.plans import cascade, prepare
+from loomrank.session import written
 from loomrank.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,7 +55,7 @@ def final(spark, sf):
 
 
 def index(spark, sf):
-    return bm25.Index.over(final(spark, sf))
+    return bm25.Index.over(final(spark, sf), write=lambda tokens: written(tokens, "tokens"))
 
 
 def candidates(spark, sf):

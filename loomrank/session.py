@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import os
+import tempfile
+import uuid
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build(app: str = "loomrank", master: str | None = None, **conf: str) -> SparkSession:
@@ -13,3 +18,35 @@ def build(app: str = "loomrank", master: str | None = None, **conf: str) -> Spar
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers import this package from the folder the driver has it from, where they see that folder (local
+    runs, shared disks); on other clusters the package is shipped with the job."""
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    known = f"{environment.get('PYTHONPATH', '')}{os.pathsep}{os.environ.get('PYTHONPATH', '')}".split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), root]))
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder of the cluster; a folder of our own only where none is set (tests)."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        known = spark.sparkContext._jsc.sc().getCheckpointDir()
+        root = known.get() if known.isDefined() else tempfile.mkdtemp(prefix="loomrank-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    return f"{scratch_root(spark)}/loomrank/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write df as Parquet to the shared folder and read it again."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
