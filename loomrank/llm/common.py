@@ -1,9 +1,8 @@
-"""What the corpus operators share: scratch tables, byte-word helpers, components."""
+"""What the corpus operators share: Arrow and byte-word helpers, components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -12,46 +11,36 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomrank.session import scratch_path, share_code, written
+
+__all__ = ["MULT", "MULT2", "as_bytes", "bound_batches", "chunks", "connected_components", "give_back", "scratch_path", "word_lists", "written"]
+
 #: Odd multipliers for polynomial hashes over 64-bit word hashes.
 MULT = np.uint64(0x9E3779B97F4A7C15)
 MULT2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-# ---------------------------------------------------------------- scratch
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a folder of our own only where none is set (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = known.get() if known.isDefined() else tempfile.mkdtemp(prefix="loomrank-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/loomrank/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as Parquet to the shared folder and read it again."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 # ---------------------------------------------------------------- arrow
 
 
 def bound_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Lower the session's Arrow batches to so many rows: a batch of whole texts is held twice, in Spark and in Python."""
+    """Lower the session's Arrow batches to so many rows (a batch of whole texts is held twice, in Spark and in Python), and
+    let Python workers find this package."""
+    share_code(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
 
 
+def give_back() -> None:
+    """Hand freed memory of this Python worker back to the system: idle workers are kept for later tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """The values of a string column as UTF-8 bytes."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()

@@ -22,14 +22,17 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomrank.llm.common import as_bytes, chunks, scratch_path
+from loomrank.llm.common import bound_batches, chunks, give_back, scratch_path
 
 MASK_DELTA = 0xA282EAD8
 HEAD = struct.Struct("<QI")
@@ -79,77 +82,117 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
 
 
 class WordEncoder:
-    """encode() of the tokenizers library for whole texts, each distinct chunk between white space encoded once.
+    """encode() of the tokenizers library for whole texts, each distinct chunk between spaces encoded once.
 
-    For a tokenizer that drops white space and never joins text across it (`splits_at_space`), the ids of a text are the
-    ids of its chunks in order, so the memory of chunks seen so far gives the same ids as encoding the text at once. The
-    memory is emptied at `most` chunks; a tokenizer of another kind encodes each text as a whole.
+    For a tokenizer that lowers its input, drops white space and never joins text across it (`splits_at_space`), the ids
+    of a text are the ids of its chunks in order, and a full stop or comma between a letter or digit and white space is
+    a chunk of its own. So the memory of chunks seen so far gives the same ids as encoding the text at once. New chunks are
+    encoded together, with a mark between them that has one id of its own. At `most` chunks the memory is cut down to
+    those met often. A tokenizer of another kind encodes each text as a whole.
     """
 
-    def __init__(self, path: str, splits_at_space: bool, most: int = 400_000):
+    MARK = "~"
+    POINT = r"([\pL\pN])([.,])([ \n])"
+
+    def __init__(self, path: str, splits_at_space: bool, most: int = 320_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
         self.splits_at_space, self.most = splits_at_space, most
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.starts, self.counts = np.zeros(1 << 16, dtype=np.uint32), np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
-        self.used = 0
-
-    def _learn(self, new: list[str]) -> None:
-        for encoded, word in zip(self.tokenizer.encode_batch_fast(new, add_special_tokens=False), new, strict=True):
-            ids = encoded.ids
-            k, n = len(self.index), len(ids)
-            while k >= len(self.starts):
-                self.starts, self.counts = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.counts))
-            while self.used + n > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.index[word] = k
-            self.starts[k], self.counts[k] = self.used, n
-            self.flat[self.used : self.used + n] = ids
-            self.used += n
+        self.mark = self._ids(self.MARK)
+        self._keep([], np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+
+    def _keep(self, words: list[str], flat: np.ndarray, counts: np.ndarray, met: np.ndarray) -> None:
+        """The memory: chunks, their ids one after another, how many each has, how often it was met."""
+        self.index = dict(zip(words, range(len(words)), strict=True))
+        self.flat, self.counts, self.met = flat, counts, met
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after another, and the number of each."""
+        if len(self.mark) == 1 and not any(self.MARK in w for w in words):
+            ids = self._ids(f" {self.MARK} ".join(words))
+            marks = np.flatnonzero(ids == self.mark[0])
+            if len(marks) == len(words) - 1:
+                cuts = np.concatenate([[-1], marks, [len(ids)]])
+                return ids[ids != self.mark[0]], np.diff(cuts) - 1
+        parts = [self._ids(w) for w in words]
+        return np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        parts = [self._encoded(words[i : i + 500]) for i in range(0, len(words), 500)]
+        first = len(self.index)
+        self.index.update(zip(words, range(first, first + len(words)), strict=True))
+        self.flat = np.concatenate([self.flat, *(p[0] for p in parts)])
+        self.counts = np.concatenate([self.counts, *(p[1] for p in parts)])
+        self.met = np.concatenate([self.met, np.zeros(len(words), dtype=np.int64)])
+
+    def _shrink(self) -> None:
+        """Keep the half of `most` that was met most often; older meetings count less and less."""
+        bar = max(1, int(np.partition(self.met, -(self.most // 2))[-(self.most // 2)]))
+        often = self.met > bar
+        words = [w for w, keep in zip(self.index, often.tolist(), strict=True) if keep]
+        self._keep(words, self.flat[np.repeat(often, self.counts)], self.counts[often], self.met[often] // 2)
 
     def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         """The ids of each text, with the end id appended."""
         if not self.splits_at_space:
-            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
             return [np.array([*x.ids, end_id], dtype=np.uint32) for x in found]
         if len(self.index) > self.most:
-            self._clear()
-        lists = [t.split(" ") if "\n" not in t else t.replace("\n", " ").split(" ") for t in texts]
-        known = self.index
-        new = list({w for ws in lists for w in ws if w not in known})
-        if new:
-            self._learn(new)
-        out = []
-        for ws in lists:
-            rows = np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))
-            counts = self.counts[rows]
-            total = int(counts.sum())
-            ids = np.empty(total + 1, dtype=np.uint32)
-            shift = np.repeat(self.starts[rows] - (np.cumsum(counts) - counts), counts)
-            ids[:total] = self.flat[shift + np.arange(total)]
-            ids[total] = end_id
-            out.append(ids)
-        return out
+            self._shrink()
+        # Lowering changes nothing for texts in composed form; a special token's name must not come about by it.
+        forms = [t.lower() if "<|" not in t and is_normalized("NFC", t) else t for t in texts]
+        apart = pc.replace_substring_regex(pa.array(forms, pa.large_string()), self.POINT, r"\1 \2\3")
+        split = pc.split_pattern(pc.replace_substring(apart, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        rows = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        absent = np.flatnonzero(rows < 0)
+        if len(absent):
+            first = len(self.index)
+            self._learn([words[i] for i in absent.tolist()])
+            rows[absent] = np.arange(first, first + len(absent))
+        places = coded.indices.to_numpy()
+        self.met[rows] += np.bincount(places, minlength=len(words))
+        starts = (np.cumsum(self.counts) - self.counts).astype(np.int32)
+        counts = self.counts[rows].astype(np.int32)[places]
+        ends = np.cumsum(counts, dtype=np.int32)
+        ids = self.flat[np.repeat(starts[rows][places] - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32)]
+        cuts = np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        end = np.array([end_id], dtype=np.uint32)
+        return [np.concatenate([ids[a:b], end]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
+_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
+
+
+def encoder(path: str, splits_at_space: bool) -> WordEncoder:
+    """One encoder for each Python worker, shared by the tasks it runs; nothing but speed depends on its memory."""
+    key = (path, splits_at_space)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = WordEncoder(path, splits_at_space)
+    return _ENCODERS[key]
 
 
 def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, splits_at_space: bool = True, file_bytes: int = 24 << 20) -> None:
     """Write docs(doc_id, text) as record files under path, in ascending order of doc_id over the sorted file names."""
+    bound_batches(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // file_bytes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = WordEncoder(tokenizer_path, splits_at_space), zstandard.ZstdCompressor(level=1)
+        coder, packer = encoder(tokenizer_path, splits_at_space), zstandard.ZstdCompressor(level=1)
         for part in chunks(batches, "text", 4 << 20):
             ids = part.column(0).to_pylist()
             texts = [t or "" for t in part.column(1).to_pylist()]
-            rows = [frame(pack(d, x, encoder.wide, packer)) for d, x in zip(ids, encoder.encode(texts, end_id), strict=True)]
+            rows = [frame(pack(d, x, coder.wide, packer)) for d, x in zip(ids, coder.encode(texts, end_id), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
+        give_back()
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.option("compression", "none").text(path)
@@ -181,18 +224,15 @@ def with_starts(records: DataFrame) -> DataFrame:
     return records.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(ahead, "file").withColumn("start", F.col("ahead") + F.col("inside")).drop("ahead", "inside")
 
 
-def write_index(records: DataFrame, path: str) -> None:
-    """The offset index of record files, as Parquet."""
-    records.select("doc_id", "file", "offset", "length", "n_tokens").write.parquet(path)
-
-
 def token_records(docs: DataFrame, tokenizer_path: str, path: str | None = None, **options) -> DataFrame:
-    """Write docs and their index under path (a new shared folder if None); give what reading the files back shows."""
+    """Write docs as record files under path (a new shared folder if None), read the files back into their offset index
+    (doc_id, file, offset, length, n_tokens, ids_crc32), and give the index with start, the ids of all records before."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, "records")
     write_records(docs, f"{path}/records", tokenizer_path, **options)
-    write_index(read_records(spark, f"{path}/records"), f"{path}/index")
-    return with_starts(read_records(spark, f"{path}/records")).select("doc_id", "start", "n_tokens", "ids_crc32", "file", "offset", "length")
+    read_records(spark, f"{path}/records").write.parquet(f"{path}/index")
+    index = spark.read.schema(READ_SCHEMA).parquet(f"{path}/index")
+    return with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32", "file", "offset", "length")
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
