@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomrank.llm.common import written
+from loomrank.llm.common import bound_batches, written
 
 START, END, NEWLINE = "<|im_start|>", "<|im_end|>", "<|role_newline|>"
 #: Control strings of common chat templates (fixed values).
@@ -100,6 +100,7 @@ def paths(messages: DataFrame) -> DataFrame:
 def conversations_of(messages: DataFrame, branches: int | None = None) -> DataFrame:
     """(tree_id, leaf_id, branch_rank, branch_score, formatted, loss_spans): a row for each of the `branches` best paths of
     each tree (None: all)."""
+    bound_batches(messages.sparkSession)
     first = F.min(F.struct("parent_id", "role", "text", "score")).alias("m")
     nodes = messages.where("tree_id IS NOT NULL AND node_id IS NOT NULL").groupBy("tree_id", "node_id").agg(first).select("tree_id", "node_id", "m.*")
     nodes = written(nodes, "messages")

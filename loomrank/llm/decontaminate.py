@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomrank.llm.common import as_bytes, chunks
+from loomrank.llm.common import as_bytes, bound_batches, chunks, give_back
 
 Q = 8
-ERRORS = 0.05
+ERRORS = 0.1
 LEAST = 32
 TABLE_BITS = 20
 BLOCK_BYTES = 4 << 20
@@ -189,6 +189,7 @@ def blocks_of(benchmark: DataFrame, errors: float, least: int, block_bytes: int)
 
 def leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, least: int = LEAST, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, distance, position): items found in each row of docs(doc_id, text)."""
+    bound_batches(docs.sparkSession)
     schema = "doc_id long, item_id long, distance int, position long"
     out = docs.sparkSession.createDataFrame([], schema)
     for items in blocks_of(benchmark, errors, least, block_bytes):
@@ -200,6 +201,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, least:
                 if rows:
                     a, b, c, d = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int32()), pa.array(d, pa.int64())], names=["doc_id", "item_id", "distance", "position"])
+            give_back()
 
         out = out.union(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema))
     return out
@@ -207,12 +209,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, least:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, least: int = LEAST, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs without the rows that hold an item, one map for each block of items."""
+    bound_batches(docs.sparkSession)
     for items in blocks_of(benchmark, errors, least, block_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             for part in chunks(batches, "text", 2 << 20):
                 found = judge(as_bytes(part.column(part.schema.get_field_index("text"))), items)
                 yield part.filter(pa.array([not x for x in found]))
+            give_back()
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomrank.llm.common import MULT, MULT2, as_bytes, chunks, word_lists
+from loomrank.llm.common import MULT, MULT2, as_bytes, bound_batches, chunks, give_back, word_lists
 
 #: Largest share of characters in duplicated n-grams, by n (fixed values published for the MassiveText rules).
 DUP_NGRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
@@ -127,7 +127,9 @@ def quality_report(docs: DataFrame) -> DataFrame:
         for part in chunks(batches, "text"):
             found = measure(as_bytes(part.column(1)))
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(found[k]) for k in names)], names=["doc_id", *names])
+        give_back()
 
+    bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
 
@@ -139,7 +141,9 @@ def keep_good(docs: DataFrame) -> DataFrame:
         for part in chunks(batches, "text"):
             found = measure(as_bytes(part.column(part.schema.get_field_index("text"))))
             yield part.filter(pa.array(found["kept"]))
+        give_back()
 
+    bound_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
 
 

@@ -11,12 +11,13 @@ apart have different parity, and the codeword nearest to one is within 4 bits of
 segment one side gives its nearest codeword and the other all codewords within 4 bits, parity choosing the side. No link
 is lost, with some 36 keys of 36 bits for a fingerprint.
 
-`wide` keys, for 128 bits and larger radii (19 bits estimate a Jaccard similarity of 0.8): pairs of codewords of three
-disjoint pairs of segments, all codewords within 4 bits on both sides. A link is found with a probability (over 0.95 from
-similarity 0.9 on, about 0.8 at 0.8 by simulation).
+`wide` keys, for 128 bits and larger radii: pairs of codewords of the segments of each half, all codewords within 4 bits
+on both sides, some 170 keys. A pair within the radius is met with a probability: by measurement 0.99 at a Jaccard
+similarity of 0.9 of five-word shingles, about 0.9 at 0.8. There the radius is set wide (24 bits, a similarity of about
+0.73) and every link found is verified: the shingle sets of both texts are compared, and links below `least` go.
 
 Keys are shuffled with the fingerprint, sorted, and streamed; within a bucket the distances are taken in numpy and only a
-spanning forest of the links is given out, so a bucket never yields all its pairs. A bucket of over `bucket` distinct
+spanning forest of the links is given out, the closest links first, so a bucket never yields all its pairs. A bucket of over `bucket` distinct
 fingerprints is dealt anew as pairs of blocks of bounded size, many tasks for one bucket. Components of the forests are
 found by star rounds.
 
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomrank.llm import golay
-from loomrank.llm.common import as_bytes, chunks, connected_components, written
+from loomrank.llm.common import as_bytes, bound_batches, chunks, connected_components, give_back, written
 
 SEGMENTS = (22, 21, 21)
 SEED = 42
@@ -46,21 +47,27 @@ BUCKET = 8192
 # ---------------------------------------------------------------- fingerprints
 
 
-def fingerprint(text: bytes | None, width: int, bits: int) -> list[int]:
-    """The fingerprint as signed 64-bit numbers, the hash seeds being SEED, SEED + 1, ..."""
+def shingles_of(text: bytes | None, width: int) -> list[bytes]:
+    """The shingles of a text, repeats included; the words of a shorter text are one shingle; none without words."""
     words = text.lower().split() if text else []
-    if not words:
-        return [0] * (bits // 64)
     if len(words) <= width:
-        shingles = [b" ".join(words)]
-    else:
-        joined = b" ".join(words)
-        stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts = [0, *(stops[: -width]).tolist()]
-        shingles = [joined[a:b] for a, b in zip(starts, (stops[width - 1 :] - 1).tolist(), strict=True)]
+        return [b" ".join(words)] if words else []
+    joined = b" ".join(words)
+    stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = [0, *stops[:-width].tolist()]
+    return [joined[a:b] for a, b in zip(starts, (stops[width - 1 :] - 1).tolist(), strict=True)]
+
+
+def shingle_hashes(shingles: list[bytes], seed: int) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(s, seed) for s in shingles], dtype=np.uint64)
+
+
+def fingerprint(text: bytes | None, width: int, bits: int) -> list[int]:
+    """The fingerprint as signed 64-bit numbers, the hash seeds being SEED, SEED + 1, ..."""
+    shingles = shingles_of(text, width)
     out = []
     for i in range(bits // 64):
-        hashes = np.array([xxhash.xxh64_intdigest(s, SEED + i) for s in shingles], dtype=np.uint64)
+        hashes = shingle_hashes(shingles, SEED + i)
         ones = np.zeros(64, dtype=np.int64)
         for at in range(0, len(hashes), 1 << 14):
             part = hashes[at : at + (1 << 14)]
@@ -77,7 +84,9 @@ def fingerprints(docs: DataFrame, width: int, bits: int) -> DataFrame:
         for part in chunks(batches, "text"):
             found = np.array([fingerprint(t, width, bits) for t in as_bytes(part.column(1))], dtype=np.int64).reshape(-1, len(names))
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(found[:, i]) for i in range(len(names)))], names=["doc_id", *names])
+        give_back()
 
+    bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ", ".join(["doc_id long", *(f"{n} long" for n in names)]))
 
 
@@ -123,11 +132,12 @@ def complete_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def wide_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) for pairs of codewords of disjoint pairs of segments."""
+    """(row, key) for the pairs of codewords of two segments of one 64-bit half."""
     keys = [golay.near(p) for p in segments_of(prints)]
+    n = len(SEGMENTS)
     rows, out = [], []
-    for tag in range(len(keys) // 2):
-        r, (a, b) = golay.products([keys[2 * tag], keys[2 * tag + 1]])
+    for tag, (i, j) in enumerate((h + i, h + j) for h in range(0, len(keys), n) for i in range(n) for j in range(i + 1, n)):
+        r, (a, b) = golay.products([keys[i], keys[j]])
         rows.append(r)
         out.append((np.int64(tag) << 24) | (a << 12) | b)
     return np.concatenate(rows), np.concatenate(out)
@@ -137,21 +147,32 @@ def wide_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def forest(prints: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges, by row, of a spanning forest of the links between fingerprints at most `most` bits apart."""
-    left = np.arange(len(prints))
+    """Edges, by row, of a smallest spanning forest of the links between fingerprints at most `most` bits apart."""
+    left = np.arange(1, len(prints))
+    near = np.zeros(len(left), dtype=np.int64)  # the row of the forest that is closest to each row left
+    gap = np.bitwise_count(prints[left] ^ prints[0]).sum(axis=1)
     a, b = [], []
-    while len(left) > 1:
-        stack, left = [left[0]], left[1:]
-        while stack and len(left):
-            u = stack.pop()
-            near = np.bitwise_count(prints[left] ^ prints[u]).sum(axis=1) <= most
-            found = left[near]
-            if len(found):
-                left = left[~near]
-                a.append(np.full(len(found), u))
-                b.append(found)
-                stack.extend(found.tolist())
-    return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
+    while len(left):
+        k = int(gap.argmin())
+        row = int(left[k])
+        if gap[k] <= most:
+            a.append(int(near[k]))
+            b.append(row)
+            keep = gap > 0  # equal rows of nearby ones join at no distance, all at once
+            keep[k] = False
+            zero = ~keep
+            zero[k] = False
+            a.extend(near[zero].tolist())
+            b.extend(left[zero].tolist())
+        else:  # nothing left is linked to what there is: begin another tree
+            keep = np.ones(len(left), dtype=bool)
+            keep[k] = False
+        left, near, gap = left[keep], near[keep], gap[keep]
+        if len(left):
+            new = np.bitwise_count(prints[left] ^ prints[row]).sum(axis=1)
+            closer = new < gap
+            near[closer], gap = row, np.minimum(gap, new)
+    return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
 
 
 def bucket_links(key: np.ndarray, ids: np.ndarray, prints: np.ndarray, most: int, bucket: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -244,23 +265,62 @@ def near_links(nodes: DataFrame, bits: int, most: int, bucket: int = BUCKET) ->
     return links.union(again.select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 128, most: int = 19, bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, f0[, f1], component_id) for each row of docs(doc_id, text)."""
-    names = [f"f{i}" for i in range(bits // 64)]
-    prints = written(fingerprints(docs, width, bits), "fingerprints")
-    nodes = written(prints.groupBy(*names).agg(F.min("doc_id").alias("id")), "nodes")
-    parts = connected_components(near_links(nodes.where("id IS NOT NULL"), bits, most, bucket))
-    named = nodes.join(parts, nodes["id"] == parts["node"], "left").select(*names, F.coalesce("component", "id").alias("component_id"))
-    return prints.join(named, names).select("doc_id", *names, "component_id")
-
-
 #: Ids broadcast at most, 8 bytes each; above it the join is shuffled.
 MOST_BROADCAST_IDS = 2_000_000
 
 
 def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """docs without the rows whose doc_id is in ids(doc_id), a small written table: broadcast if its count allows it."""
-    return docs.join(F.broadcast(ids) if ids.count() <= MOST_BROADCAST_IDS else ids, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(small_ids(ids), "doc_id", "left_anti").select(*docs.columns)
+
+
+def small_ids(ids: DataFrame) -> DataFrame:
+    """A written table of ids, to be broadcast if its count allows it."""
+    return F.broadcast(ids) if ids.count() <= MOST_BROADCAST_IDS else ids
+
+
+def verified(links: DataFrame, docs: DataFrame, width: int, least: float) -> DataFrame:
+    """The links (a, b) between documents whose sets of shingles have a Jaccard similarity of `least` or more. Only the
+    texts at the ends of links move."""
+    ends = written(links.select(F.col("a").alias("doc_id")).union(links.select("b")).distinct(), "link-ends")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_ids(ends), "doc_id", "left_semi")
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, "text"):
+            sets = [np.unique(shingle_hashes(shingles_of(t, width), SEED)).tobytes() for t in as_bytes(part.column(1))]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
+        give_back()
+
+    sets = texts.mapInArrow(gather, "doc_id long, shingles binary").groupBy("doc_id").agg(F.max("shingles").alias("shingles"))
+    sets = written(sets, "shingles")
+    left, right = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                p, q = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
+                common = len(np.intersect1d(p, q, assume_unique=True))
+                ok.append(common >= least * (len(p) + len(q) - common))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        give_back()
+
+    return links.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 128, most: int = 24, least: float | None = 0.8, bucket: int = BUCKET) -> DataFrame:
+    """(doc_id, f0[, f1], component_id) for each row of docs(doc_id, text). least: the similarity to verify links by, None to
+    go by fingerprints alone; documents of equal fingerprints are linked in either case."""
+    names = [f"f{i}" for i in range(bits // 64)]
+    prints = written(fingerprints(docs, width, bits), "fingerprints")
+    nodes = written(prints.groupBy(*names).agg(F.min("doc_id").alias("id")), "nodes")
+    links = near_links(nodes.where("id IS NOT NULL"), bits, most, bucket)
+    if least is not None:
+        pair = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links = verified(written(pair, "found-links"), docs, width, least)
+    parts = connected_components(links)
+    named = nodes.join(parts, nodes["id"] == parts["node"], "left").select(*names, F.coalesce("component", "id").alias("component_id"))
+    return prints.join(named, names).select("doc_id", *names, "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
@@ -278,5 +338,5 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 def op1_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = near_duplicates(docs, width=3, bits=64, most=3)
+    found = near_duplicates(docs, width=3, bits=64, most=3, least=None)
     return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")

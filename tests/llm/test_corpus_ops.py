@@ -82,6 +82,10 @@ def test_substrings_at_every_offset(spark):
         assert as_rows(substring_dedup.dedup_substrings(frame, window, 2000)) == plain_substrings(docs, window)
 
 
+def test_nothing_in_nothing_out(spark, no_docs):
+    assert substring_dedup.dedup_substrings(no_docs).count() == 0 == lm_scoring.score_corpus(no_docs).count()
+
+
 def test_anchors_are_few_and_shared():
     rng = np.random.default_rng(6)
     shared = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
@@ -180,7 +184,7 @@ def test_every_region_within_the_budget_is_found(spark, awkward):
         if i % 2:
             item = items[int(rng.integers(0, 25))]
             at = int(rng.integers(0, len(text)))
-            text = text[:at] + " " + edited(rng, item, int(rng.integers(0, 1 + int(0.08 * len(item))))) + " " + text[at:]
+            text = text[:at] + " " + edited(rng, item, int(rng.integers(0, 1 + int(0.14 * len(item))))) + " " + text[at:]
         docs.append((i, text.replace(" ", "\n", 3).upper() if i % 4 == 1 else text))
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")

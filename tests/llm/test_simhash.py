@@ -68,7 +68,7 @@ def test_op1_against_brute_force(spark, sf, awkward):
         text.setdefault(r.doc_id, r.text)
     prints = {d: plain_print(t) for d, t in text.items() if d is not None and len(t or "") < 100_000}
     few = docs.where("coalesce(length(text), 0) < 100000")
-    found = sd.near_duplicates(few, width=3, bits=64, most=3).collect()
+    found = sd.near_duplicates(few, width=3, bits=64, most=3, least=None).collect()
     assert len(found) == few.count()
     expected = plain_components(prints, 3)
     for r in found:
