@@ -21,7 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: fingerprints of five-word shingles, similarity 0.8 or more."""
-    return simhash_dedup.drop_near_duplicates(docs.select(*COLUMNS), width=5, bits=128, most=19)
+    return simhash_dedup.drop_near_duplicates(docs.select(*COLUMNS), width=5, least=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
