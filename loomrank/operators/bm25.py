@@ -8,9 +8,11 @@ corpus order, so that they do not depend on the order of summation.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
-from dataclasses import asdict, dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from typing import Protocol
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,19 +23,55 @@ from loomrank.functions import text as tx
 MOST_BROADCAST_ROWS = 500_000
 
 
+class Stemmer(Protocol):
+    """Loaded once in each Python worker; maps a term to its stem. name: part of an index's manifest."""
+
+    name: str
+
+    def load(self) -> Callable[[str], str]: ...
+
+
 @dataclass(frozen=True)
 class Bm25:
     k1: float = 0.9
     b: float = 0.4
     stop_words: tuple[str, ...] = tx.STOP_WORDS
+    stemmer: Stemmer | None = None
+
+    def terms(self, text: Column) -> Column:
+        found = tx.terms(text, self.stop_words)
+        return found if self.stemmer is None else stemmed(found, self.stemmer)
+
+    def key(self) -> dict:
+        return {"k1": self.k1, "b": self.b, "stop_words": self.stop_words, "stemmer": self.stemmer and self.stemmer.name}
+
+
+def stemmed(terms: Column, stemmer: Stemmer) -> Column:
+    @F.pandas_udf("array<string>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        stem = stemmer.load()
+        for batch in batches:
+            yield batch.map(lambda words: None if words is None else [stem(w) for w in words])
+
+    return run(terms)
 
 
 DEFAULT = Bm25()
 
 
+PASSAGE = ["doc_pos", "chunk_idx"]
+
+
 def tokenized(passages: DataFrame, rule: Bm25 = DEFAULT) -> DataFrame:
-    """Passages with their terms and length."""
-    return passages.withColumn("terms", tx.terms(F.col("text"), rule.stop_words)).withColumn("dl", F.size("terms"))
+    """Passages with their terms, length, and norm2, the sum of squared term counts."""
+    start = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).cast("long").alias("sum"))
+
+    def step(acc: Column, term: Column) -> Column:
+        run = F.when(acc.last == term, acc.run + 1).otherwise(F.lit(1))
+        return F.struct(term.alias("last"), run.alias("run"), (acc["sum"] + (2 * run - 1)).alias("sum"))
+
+    norm2 = F.aggregate(F.array_sort("terms"), start, step, lambda acc: acc["sum"])
+    return passages.withColumn("terms", rule.terms(F.col("text"))).withColumn("dl", F.size("terms")).withColumn("norm2", norm2)
 
 
 def corpus_stats(tokens: DataFrame) -> DataFrame:
@@ -42,21 +80,25 @@ def corpus_stats(tokens: DataFrame) -> DataFrame:
 
 
 def postings(tokens: DataFrame, only: DataFrame | None = None) -> DataFrame:
-    """(term, doc_pos, chunk_idx, dl, tf); only(term): a small set of terms to keep before anything is shuffled."""
-    each = tokens.select("doc_pos", "chunk_idx", "dl", F.explode("terms").alias("term"))
+    """(term, doc_pos, chunk_idx, dl, tf); only(term): a small set of terms to keep. Passages are dealt by their key, so
+    that counting terms here and summing over a passage later need no other exchange."""
+    each = tokens.select(*PASSAGE, "dl", "terms").repartition(*PASSAGE).select(*PASSAGE, "dl", F.explode("terms").alias("term"))
     if only is not None:
         each = each.join(only, "term", "left_semi")
-    return each.groupBy("term", "doc_pos", "chunk_idx", "dl").agg(F.count("*").alias("tf"))
+    return each.groupBy("term", *PASSAGE, "dl").agg(F.count("*").alias("tf"))
 
 
-def term_df(tokens: DataFrame) -> DataFrame:
-    """(term, df)."""
-    return tokens.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+def term_df(tokens: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """(term, df), summed in each task before anything moves."""
+    each = tokens.select(F.explode(F.array_distinct("terms")).alias("term"))
+    if only is not None:
+        each = each.join(only, "term", "left_semi")
+    return each.groupBy("term").agg(F.count("*").alias("df"))
 
 
 def query_terms(queries: DataFrame, rule: Bm25 = DEFAULT) -> DataFrame:
     """(query_id, term, qtf)."""
-    each = queries.select("query_id", F.explode(tx.terms(F.col("text"), rule.stop_words)).alias("term"))
+    each = queries.select("query_id", F.explode(rule.terms(F.col("text"))).alias("term"))
     return each.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
 
 
@@ -64,9 +106,15 @@ def idf(n_docs: Column, df: Column) -> Column:
     return F.log(F.lit(1.0) + (n_docs - df + F.lit(0.5)) / (df + F.lit(0.5)))
 
 
+def checked(df: DataFrame, most: int = MOST_BROADCAST_ROWS) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """df, and a hint to broadcast tables of at most as many rows as df; it does nothing if df is not small."""
+    few = df.limit(most + 1).count() <= most
+    return df, F.broadcast if few else lambda other: other
+
+
 def small(df: DataFrame, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if a look at its first rows shows that it is small."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    return checked(df, most)[1](df)
 
 
 class Index:
@@ -93,14 +141,12 @@ class Index:
         return term_df(self.tokens) if self._dfs is None else self._dfs
 
     def postings_of(self, terms: DataFrame) -> DataFrame:
-        """Postings of terms(term), a small table."""
-        return postings(self.tokens, terms) if self._post is None else self._post.join(terms, "term", "left_semi")
+        """Postings of terms(term), a small table, dealt by passage."""
+        return postings(self.tokens, terms) if self._post is None else self._post.join(terms, "term", "left_semi").repartition(*PASSAGE)
 
     def df_of(self, terms: DataFrame) -> DataFrame:
-        """(term, df) of terms(term); the exchange of the postings is shared with `postings_of`."""
-        if self._dfs is not None:
-            return self._dfs.join(terms, "term", "left_semi")
-        return self.postings_of(terms).groupBy("term").agg(F.count("*").alias("df"))
+        """(term, df) of terms(term)."""
+        return term_df(self.tokens, terms) if self._dfs is None else self._dfs.join(terms, "term", "left_semi")
 
     @staticmethod
     def over(passages: DataFrame, rule: Bm25 = DEFAULT, write: Callable[[DataFrame], DataFrame] | None = None) -> Index:
@@ -118,7 +164,7 @@ class Index:
         postings(tokens).repartition("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
         term_df(tokens).write.mode("overwrite").parquet(f"{path}/term_df")
         corpus_stats(tokens).write.mode("overwrite").parquet(f"{path}/stats")
-        manifest = json.dumps({"rule": asdict(rule), "passages": fingerprint(tokens)}, sort_keys=True)
+        manifest = json.dumps({"rule": rule.key(), "passages": fingerprint(tokens)}, sort_keys=True)
         spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
         return Index._read(spark, path, rule)
 
@@ -135,16 +181,16 @@ class Index:
             found = spark.read.text(f"{path}/manifest").first()
         except AnalysisException:  # no such path
             found = None
-        wanted = json.dumps({"rule": asdict(rule), "passages": fingerprint(passages)}, sort_keys=True)
+        wanted = json.dumps({"rule": rule.key(), "passages": fingerprint(passages)}, sort_keys=True)
         return Index._read(spark, path, rule) if found is not None and found[0] == wanted else Index.build(passages, path, rule)
 
     def scored(self, queries: DataFrame) -> DataFrame:
         """(query_id, doc_pos, chunk_idx, bm25_score, matched, shared): all hits. matched: sum of query counts times passage
         counts of common terms; shared: sum of idf of the distinct common terms."""
-        terms = small(query_terms(queries, self.rule))
-        only = small(query_terms(queries, self.rule).select("term").distinct())
-        weights = terms.join(self.df_of(only), "term").crossJoin(F.broadcast(self.stats))  # stats is one row
-        weights = weights.select("query_id", "term", "qtf", idf(F.col("n_docs"), F.col("df")).alias("idf"), "avgdl")
+        asked, few = checked(query_terms(queries, self.rule))
+        only = few(asked.select("term").distinct())
+        weights = few(asked).join(self.df_of(only), "term").crossJoin(F.broadcast(self.stats))  # stats is one row
+        weights = few(weights.select("query_id", "term", "qtf", idf(F.col("n_docs"), F.col("df")).alias("idf"), "avgdl"))
         tf, dl = F.col("tf"), F.col("dl")
         k1, b = F.lit(float(self.rule.k1)), F.lit(float(self.rule.b))
         weight = F.col("qtf") * F.col("idf") * tf / (tf + k1 * (F.lit(1.0) - b + b * dl / F.col("avgdl")))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomrank.functions import text as tx
+from loomrank.session import spread
 
 
 @dataclass(frozen=True)
@@ -37,10 +38,11 @@ def n_chunks(n_words: Column, rule: Chunking = DEFAULT) -> Column:
 
 def chunked(docs: DataFrame, rule: Chunking = DEFAULT) -> DataFrame:
     """(doc_pos, chunk_idx, doc_id, text, source_doc_id): windows of `size` words, each `stride` words on."""
-    split = docs.select("doc_pos", F.col("doc_id").alias("source_doc_id"), tx.words(F.col("text")).alias("w")).where(F.size("w") >= rule.least_words)
-    each = split.select("doc_pos", "source_doc_id", "w", F.explode(F.sequence(F.lit(0), n_chunks(F.size("w"), rule) - 1)).alias("chunk_idx"))
-    window = F.slice("w", F.col("chunk_idx") * rule.stride + 1, rule.size)
-    return each.select("doc_pos", "chunk_idx", tx.chunk_id(F.col("source_doc_id"), F.col("chunk_idx")).alias("doc_id"), F.array_join(window, " ").alias("text"), "source_doc_id")
+    split = spread(docs.select("doc_pos", "doc_id", "text")).select("doc_pos", F.col("doc_id").alias("source_doc_id"), tx.words(F.col("text")).alias("w")).where(F.size("w") >= rule.least_words)
+    starts = F.sequence(F.lit(0), n_chunks(F.size("w"), rule) - 1)
+    texts = F.transform(starts, lambda k: F.array_join(F.slice("w", k * rule.stride + 1, rule.size), " "))
+    each = split.select("doc_pos", "source_doc_id", F.posexplode(texts).alias("chunk_idx", "text"))  # not the words, once for each window
+    return each.select("doc_pos", "chunk_idx", tx.chunk_id(F.col("source_doc_id"), F.col("chunk_idx")).alias("doc_id"), "text", "source_doc_id")
 
 
 def with_default_ids(docs: DataFrame, rule: Chunking = DEFAULT) -> DataFrame:

@@ -18,7 +18,7 @@ from loomrank.functions import vector
 from loomrank.operators import bm25
 from loomrank.session import share_code
 
-PASSAGE = ["doc_pos", "chunk_idx"]
+PASSAGE = bm25.PASSAGE
 
 
 class Embedder(Protocol):
@@ -46,6 +46,22 @@ def embedded(texts: DataFrame, embedder: Embedder, column: str = "text") -> Data
     return texts.sortWithinPartitions(F.length(column)).withColumn("embedding", encode.asNondeterministic()(F.col(column)))
 
 
+def embedding_stats(rows: DataFrame, column: str = "embedding") -> DataFrame:
+    """One row: number of vectors and their bytes as floats."""
+    return rows.agg(F.count(column).alias("n_vectors"), F.coalesce(F.sum(F.size(column).cast("long") * 4), F.lit(0)).alias("bytes"))
+
+
+def default_device() -> str:
+    """cuda, mps or cpu: the best that a worker's torch offers, cpu without torch."""
+    try:
+        import torch
+    except ImportError:
+        return "cpu"
+    if torch.cuda.is_available():
+        return "cuda"
+    return "mps" if torch.backends.mps.is_available() else "cpu"
+
+
 def embedded_queries(queries: DataFrame, embedder: Embedder) -> DataFrame:
     """Each distinct query text is encoded once."""
     distinct = embedded(queries.select("text").distinct(), embedder)
@@ -83,26 +99,25 @@ def vector_top(queries: DataFrame, candidates: DataFrame, k: int = 100) -> DataF
 
 
 def term_cosine_top(hits: DataFrame, index: bm25.Index, queries: DataFrame, k: int = 100) -> DataFrame:
-    """The bi-encoder's stand-in: cosine of term counts. hits: rows of Index.top joined with the passages' text."""
-    counts = hits.select(*PASSAGE, "terms").dropDuplicates(PASSAGE).select(*PASSAGE, F.explode("terms").alias("term")).groupBy(*PASSAGE, "term").agg(F.count("*").alias("c"))
-    p_norm = counts.groupBy(*PASSAGE).agg(F.sqrt(F.sum(F.col("c") * F.col("c")).cast("double")).alias("p_norm"))
-    q_norm = bm25.query_terms(queries, index.rule).groupBy("query_id").agg(F.sqrt(F.sum(F.col("qtf") * F.col("qtf")).cast("double")).alias("q_norm"))
-    sim = F.round(F.col("matched") / (F.col("q_norm") * F.col("p_norm")), 6)
-    rows = hits.join(p_norm, PASSAGE).join(bm25.small(q_norm), "query_id").withColumn("sim", sim).drop("p_norm", "q_norm")
-    return ranked(rows, "dense_rank", F.desc("sim"), F.length("text"), "bm25_rank", k=k)
+    """The bi-encoder's stand-in: cosine of term counts. hits: rows of Index.top with the passages' norm2 and chars."""
+    counts = bm25.query_terms(queries, index.rule)
+    q_norm = counts.groupBy("query_id").agg(F.sqrt(F.sum(F.col("qtf") * F.col("qtf")).cast("double")).alias("q_norm"))
+    sim = F.round(F.col("matched") / (F.col("q_norm") * F.sqrt(F.col("norm2").cast("double"))), 6)
+    rows = hits.join(bm25.small(q_norm), "query_id").withColumn("sim", sim).drop("q_norm", "norm2")
+    return ranked(rows, "dense_rank", F.desc("sim"), "chars", "bm25_rank", k=k)
 
 
 def query_weight(index: bm25.Index, queries: DataFrame) -> DataFrame:
     """(query_id, weight): sum of idf over the distinct terms of each query, known to the corpus or not."""
-    asked = bm25.query_terms(queries, index.rule)
-    only = bm25.small(asked.select("term").distinct())
-    terms = bm25.small(asked).join(index.df_of(only), "term", "left").crossJoin(F.broadcast(index.stats))  # one row
-    return terms.groupBy("query_id").agg(F.sum(bm25.idf(F.col("n_docs"), F.coalesce("df", F.lit(0)))).alias("weight"))
+    asked, few = bm25.checked(bm25.query_terms(queries, index.rule))
+    only = few(asked.select("term").distinct())
+    terms = few(asked).join(index.df_of(only), "term", "left").crossJoin(F.broadcast(index.stats))  # one row
+    return few(terms.groupBy("query_id").agg(F.sum(bm25.idf(F.col("n_docs"), F.coalesce("df", F.lit(0)))).alias("weight")))
 
 
 def coverage_top(dense: DataFrame, index: bm25.Index, queries: DataFrame, k: int = 40) -> DataFrame:
     """The cross-encoder's stand-in: the idf-weighted share of the query's distinct terms that the passage has."""
-    rows = dense.join(bm25.small(query_weight(index, queries)), "query_id").withColumn("ce_score", F.round(F.col("shared") / F.col("weight"), 6)).drop("weight")
+    rows = dense.join(query_weight(index, queries), "query_id").withColumn("ce_score", F.round(F.col("shared") / F.col("weight"), 6)).drop("weight")
     return ranked(rows, "ce_rank", F.desc("ce_score"), "dense_rank", k=k)
 
 

@@ -50,3 +50,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores: a small file is a single partition, which dear expressions
+    would leave to one task. Large inputs have more partitions than that and are not shuffled; nor is what comes out of a
+    shuffle, whose partitions can't be counted without running it."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(node in plan for node in ("Join", "Aggregate", "Window", "Sort", "Repartition", "Deduplicate")):
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

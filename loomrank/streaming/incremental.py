@@ -104,6 +104,15 @@ class Run:
         stream = self.spark.readStream.schema(schemas.QUERIES).json(folder)
         return stream.writeStream.foreachBatch(lambda rows, _: self.batch(rows.dropDuplicates(["query_id"])) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
+    def summary(self, total: int | None = None, seconds: float | None = None) -> str:
+        """Counters as text; with the number of all queries and the seconds spent also the pace and the time left."""
+        row = mining.run_stats(self.stats(), self.processed()).first().asDict()
+        if total and seconds is not None and row["queries_processed"]:
+            pace = seconds / row["queries_processed"]
+            left = int(pace * max(0, total - row["queries_processed"]))
+            row |= {"seconds_per_query": round(pace, 3), "time_left": f"{left // 3600}h {left % 3600 // 60}m"}
+        return "\n".join(f"{k.replace('_', ' ')}: {v}" for k, v in row.items())
+
     def report(self, queries: DataFrame) -> DataFrame:
         """Counters of the whole run."""
         return mining.run_stats(self.stats(), self.processed().join(queries, "query_id", "left_semi"))

@@ -191,5 +191,29 @@ def test_label_job(spark, small_world, tmp_path):
     assert readers.qrels(spark, str(tmp_path / "job/qrels.tsv")).count() == run.qrels().count()
 
 
+def test_command_line(spark, small_world, tmp_path, monkeypatch):
+    from loomrank.__main__ import main, numbered
+
+    monkeypatch.chdir(tmp_path)
+    docs, queries = small_world
+    docs.select(F.col("doc_pos").alias("doc_id"), "text").limit(50).write.parquet("corpus")
+    queries.limit(2).write.parquet("queries")
+    write(tmp_path / "c.yaml", GOOD % tmp_path)
+    main(["label", "--config", "c.yaml", "--corpus", "corpus", "--queries", "queries", "--out", "out"])
+    assert readers.exists(spark, "out/qrels.tsv") and "queries processed: 2" in (tmp_path / "logs/agent.log").read_text()
+    main(["export", "--qrels", "out/qrels.tsv", "--triples", "out/triples.jsonl", "--out", "export"])
+    assert readers.exists(spark, "export/labels-qrels/data")
+    named = spark.createDataFrame([("x", "a"), ("y", "b")], schemas.CORPUS)
+    assert [tuple(r) for r in numbered(named).orderBy("doc_pos").collect()] == [(0, "x", "a"), (1, "y", "b")]
+
+
+def test_files(tmp_path):
+    from loomrank.functions import files
+
+    path = write(tmp_path / "a/b.txt", "x" * (1 << 20))
+    assert files.file_exists(path) and files.file_size_mb(path) == 1.0 and files.file_size_mb(path + "no") == 0.0
+    assert not files.file_exists(write(tmp_path / "empty", "")) and files.ensure_dir(str(tmp_path / "c/d")).is_dir()
+
+
 def test_session(spark):
     assert session.build().conf.get("spark.sql.session.timeZone") == "UTC"

@@ -34,6 +34,21 @@ def test_bm25_by_hand(spark):
     assert {(r.query_id, r.doc_id) for r in index.search(queries, 1).collect()} == {("q1", "d0"), ("q2", "d3")}
 
 
+def test_stemmer(spark):
+    class Cut:
+        name = "cut"
+
+        def load(self):
+            return lambda w: w[:4]
+
+    index = bm25.Index.over(passages_of(spark, ["running runners", "walk"]), bm25.Bm25(stemmer=Cut()))
+    rows = index.top(spark.createDataFrame([("q", "runnable")], "query_id string, text string")).collect()
+    assert [r.doc_pos for r in rows] == [0]
+    assert ranking.default_device() == "cpu"
+    vectors = spark.createDataFrame([([1.0, 2.0],), (None,)], "embedding array<float>")
+    assert tuple(ranking.embedding_stats(vectors).first()) == (1, 8)
+
+
 def test_equal_scores_go_by_corpus_order(spark):
     index = bm25.Index.over(passages_of(spark, ["cat dog", "dog cat", "cat fox"]))
     rows = index.top(spark.createDataFrame([("q", "cat")], "query_id string, text string")).orderBy("bm25_rank").collect()
@@ -84,6 +99,24 @@ def test_models_plug_in(spark):
     assert sorted(r.ce_score for r in ranking.pair_scored(pairs, Overlap()).collect()) == [0.0, 1.0]
 
 
+def test_cascade_with_models(spark):
+    from loomrank.plans import cascade
+
+    class Lengths:
+        def load(self):
+            return lambda texts: [[1.0 / len(t), 1.0] for t in texts]
+
+    class Ends:
+        def load(self):
+            return lambda queries, texts: [float(t[-1]) for t in texts]
+
+    index = bm25.Index.over(passages_of(spark, [f"apple number {i}" + " pie" * (i % 3) + f" {i}" for i in range(8)]))
+    queries = spark.createDataFrame([("q", "apple")], "query_id string, text string")
+    got = cascade.candidates(index, queries, cascade.Cascade(embedder=Lengths(), scorer=Ends())).orderBy("ce_rank").collect()
+    assert [r.ce_score for r in got] == [7.0, 6.0, 5.0, 4.0, 3.0, 2.0, 1.0, 0.0]
+    assert sorted(r.dense_rank for r in got) == list(range(1, 9)) and got[0].text.endswith("7")
+
+
 def test_vector_ties_prefer_short_texts_then_rank(spark):
     queries = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, embedding array<float>")
     rows = [("q", "a", [1.0, 0.0], 9, 1), ("q", "b", [1.0, 0.0], 5, 3), ("q", "c", [1.0, 0.0], 5, 2), ("q", "d", [0.0, 1.0], 1, 4)]
