@@ -11,9 +11,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomrank.session import scratch_path, share_code, written
+from loomrank.session import scratch_path, share_code, spread, written
 
-__all__ = ["MULT", "MULT2", "as_bytes", "bound_batches", "chunks", "connected_components", "give_back", "scratch_path", "word_lists", "written"]
+__all__ = ["MULT", "MULT2", "as_bytes", "bound_batches", "chunks", "connected_components", "give_back", "scratch_path", "spread", "word_lists", "written"]
 
 #: Odd multipliers for polynomial hashes over 64-bit word hashes.
 MULT = np.uint64(0x9E3779B97F4A7C15)

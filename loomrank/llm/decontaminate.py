@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomrank.llm.common import as_bytes, bound_batches, chunks, give_back
+from loomrank.llm.common import as_bytes, bound_batches, chunks, give_back, spread
 
 Q = 8
 ERRORS = 0.1
@@ -203,7 +203,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, least:
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int32()), pa.array(d, pa.int64())], names=["doc_id", "item_id", "distance", "position"])
             give_back()
 
-        out = out.union(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema))
+        out = out.union(spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(run, schema))
     return out
 
 
@@ -218,7 +218,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, le
                 yield part.filter(pa.array([not x for x in found]))
             give_back()
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = spread(docs).mapInArrow(run, docs.schema)
     return docs
 
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomrank.llm.common import MULT, MULT2, as_bytes, bound_batches, chunks, give_back, word_lists
+from loomrank.llm.common import MULT, MULT2, as_bytes, bound_batches, chunks, give_back, spread, word_lists
 
 #: Largest share of characters in duplicated n-grams, by n (fixed values published for the MassiveText rules).
 DUP_NGRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
@@ -131,7 +131,7 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
     bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
+    return spread(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
@@ -144,7 +144,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
         give_back()
 
     bound_batches(docs.sparkSession)
-    return docs.mapInArrow(run, docs.schema)
+    return spread(docs).mapInArrow(run, docs.schema)
 
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:

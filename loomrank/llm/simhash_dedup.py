@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomrank.llm import golay
-from loomrank.llm.common import as_bytes, bound_batches, chunks, connected_components, give_back, written
+from loomrank.llm.common import as_bytes, bound_batches, chunks, connected_components, give_back, spread, written
 
 SEGMENTS = (22, 21, 21)
 SEED = 42
@@ -87,7 +87,7 @@ def fingerprints(docs: DataFrame, width: int, bits: int) -> DataFrame:
         give_back()
 
     bound_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ", ".join(["doc_id long", *(f"{n} long" for n in names)]))
+    return spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(run, ", ".join(["doc_id long", *(f"{n} long" for n in names)]))
 
 
 # ---------------------------------------------------------------- keys
