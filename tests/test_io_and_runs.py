@@ -194,15 +194,16 @@ def test_label_job(spark, small_world, tmp_path):
 def test_command_line(spark, small_world, tmp_path, monkeypatch):
     from loomrank.__main__ import main, numbered
 
-    monkeypatch.chdir(tmp_path)
+    monkeypatch.chdir(tmp_path)  # for the log; Spark keeps the folder it was started in
     docs, queries = small_world
-    docs.select(F.col("doc_pos").alias("doc_id"), "text").limit(50).write.parquet("corpus")
-    queries.limit(2).write.parquet("queries")
-    write(tmp_path / "c.yaml", GOOD % tmp_path)
-    main(["label", "--config", "c.yaml", "--corpus", "corpus", "--queries", "queries", "--out", "out"])
-    assert readers.exists(spark, "out/qrels.tsv") and "queries processed: 2" in (tmp_path / "logs/agent.log").read_text()
-    main(["export", "--qrels", "out/qrels.tsv", "--triples", "out/triples.jsonl", "--out", "export"])
-    assert readers.exists(spark, "export/labels-qrels/data")
+    at = {n: str(tmp_path / n) for n in ("corpus", "queries", "out", "export")}
+    docs.select(F.col("doc_pos").alias("doc_id"), "text").limit(50).write.parquet(at["corpus"])
+    queries.limit(2).write.parquet(at["queries"])
+    settings = write(tmp_path / "c.yaml", GOOD % tmp_path)
+    main(["label", "--config", settings, "--corpus", at["corpus"], "--queries", at["queries"], "--out", at["out"]])
+    assert readers.exists(spark, at["out"] + "/qrels.tsv") and "queries processed: 2" in (tmp_path / "logs/agent.log").read_text()
+    main(["export", "--qrels", at["out"] + "/qrels.tsv", "--triples", at["out"] + "/triples.jsonl", "--out", at["export"]])
+    assert readers.exists(spark, at["export"] + "/labels-qrels/data")
     named = spark.createDataFrame([("x", "a"), ("y", "b")], schemas.CORPUS)
     assert [tuple(r) for r in numbered(named).orderBy("doc_pos").collect()] == [(0, "x", "a"), (1, "y", "b")]
 
