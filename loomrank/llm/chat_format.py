@@ -161,3 +161,26 @@ def op5_chat_format(spark, sf_dir: str) -> DataFrame:
     more = spark.createDataFrame([(-7, 0, "user", SAMPLE), (-7, 1, "assistant", SAMPLE)], "conv_id long, turn long, role string, text string")
     output = written(conversations_of(threads(rows.union(more))), "chats")
     return read_back(output).select(F.col("tree_id").alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+def _sql() -> str:
+    def escaped(x: str) -> str:
+        out = f"replace({x}, '\\', '\\\\')"
+        for control in CONTROLS:
+            out = f"replace({out}, '{control}', '{control[0]}\\{control[1:]}')"
+        return out
+
+    head, tail = len(START) + 1, len(END) + 1
+    return f"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+           UNION ALL SELECT -7, 0, 'user', '{SAMPLE}' UNION ALL SELECT -7, 1, 'assistant', '{SAMPLE}')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({head + tail} + length(replace({escaped('role')}, chr(10), '{NEWLINE}')) + length({escaped('text')})) AS BIGINT) AS formatted_chars
+FROM r GROUP BY conv_id
+"""
+
+
+#: The same by DuckDB, straight from the rows.
+SQL = _sql()

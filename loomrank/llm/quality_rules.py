@@ -149,3 +149,34 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
     return quality_report(spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id"), F.col("text")))
+
+
+def _sql() -> str:
+    sizes = ", ".join(f"({n})" for n in (3, *LENGTHS))
+    chars = ", ".join(f"CAST(coalesce(sum(chars) FILTER (WHERE n = {n}), 0) AS BIGINT) AS dup_{n}gram_chars" for n in LENGTHS)
+    within = " AND ".join(f"coalesce(dup_{n}gram_chars, 0) <= {limit}e0 * word_chars" for n, limit in DUP_NGRAM_LIMITS.items())
+    named = ", ".join(f"coalesce(dup_{n}gram_chars, 0) AS dup_{n}gram_chars" for n in LENGTHS)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t-\\r]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS w FROM d),
+g AS (SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS g
+      FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (VALUES {sizes}) AS t(n) WHERE len(ws) >= n)),
+r AS (SELECT doc_id, n, i, count(*) OVER (PARTITION BY doc_id, n, g) AS c FROM g),
+c AS (SELECT DISTINCT doc_id, n, i + o AS i FROM r, range(0, 10) AS t(o) WHERE c > 1 AND o < n),
+v AS (SELECT c.doc_id, c.n, count(*) AS words, sum(length(w.w)) AS chars FROM c JOIN w ON c.doc_id = w.doc_id AND c.i = w.i GROUP BY ALL),
+s AS (SELECT doc_id, CAST(coalesce(sum(words) FILTER (WHERE n = 3), 0) AS BIGINT) AS n_repeat_words, {chars} FROM v GROUP BY doc_id),
+l AS (SELECT doc_id, line, count(*) AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^ \\t-\\r]') GROUP BY ALL),
+k AS (SELECT doc_id, sum(c) AS n_lines, sum(c - 1) AS n_dup, sum((c - 1) * length(regexp_replace(line, '[ \\t-\\r]', '', 'g'))) AS dup_chars FROM l GROUP BY doc_id),
+a AS (SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[ \\t-\\r]', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines,
+             coalesce(n_repeat_words, 0) AS n_repeat_words, CAST(coalesce(dup_chars, 0) AS BIGINT) AS dup_line_chars, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, {named}
+      FROM d LEFT JOIN s ON d.doc_id = s.doc_id LEFT JOIN k ON d.doc_id = k.doc_id)
+SELECT *, n_words < {BASE_LEAST_WORDS} OR 100 * n_repeat_words > {BASE_MOST_REPEAT_PERCENT} * n_words AS base_failed,
+       NOT (n_words < {BASE_LEAST_WORDS} OR 100 * n_repeat_words > {BASE_MOST_REPEAT_PERCENT} * n_words) AND n_dup_lines <= {DUP_LINE_LIMIT}e0 * n_lines
+       AND dup_line_chars <= {DUP_LINE_CHAR_LIMIT}e0 * word_chars AND {within} AS kept
+FROM a
+"""
+
+
+#: The same by DuckDB, over windows as text.
+SQL = _sql()

@@ -29,6 +29,9 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_substring_dedup": substring_dedup.SQL,
+    "op5_chat_format": chat_format.SQL,
+    "op7_quality_rules": quality_rules.SQL,
     "op4_lm_scoring": lm_scoring.SQL,
     "op6_line_dedup": line_dedup.SQL,
     "op9_mixing": mixing.SQL,

@@ -194,3 +194,16 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, block_bytes: int = B
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return dedup_substrings(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+#: The same by DuckDB, over windows as text.
+SQL = """
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t-\\r]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50)),
+m AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS first FROM g),
+c AS (SELECT DISTINCT doc_id, i + o AS i FROM m, range(0, 50) AS t(o) WHERE first < doc_id),
+w AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS w FROM d),
+k AS (SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.i) AS kept, count(*) AS n FROM w LEFT JOIN c ON w.doc_id = c.doc_id AND w.i = c.i WHERE c.i IS NULL GROUP BY w.doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""

@@ -190,12 +190,13 @@ def test_line_dedup_inside_one_text_and_empty(spark, no_docs):
     assert line_dedup.dedup_lines(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op6_line_dedup", "op9_mixing"])
+@pytest.mark.parametrize("name", ["op2_substring_dedup", "op5_chat_format", "op6_line_dedup", "op7_quality_rules", "op9_mixing"])
 def test_sql_agrees(spark, sf, name):
     from loomrank.llm import queries
 
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     expected = con.sql(queries.ORACLE_SQL[name])
     names = sorted(expected.columns)
     ours = queries.QUERIES[name](spark, sf)
