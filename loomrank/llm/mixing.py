@@ -5,8 +5,8 @@ repetition rate of the source's documents. Each document gets a uniform number f
 Poisson distribution of its source's rate is inverted at it: the number of copies is the number of cumulative
 probabilities that lie at or below it. Copies are exploded and the whole is put in the order of a second hash.
 
-The table of sources is aggregated map-side first, and joined back by Spark's own choice (a broadcast only below Spark's
-size limit; a hot source is split by adaptive execution otherwise). Copies of one document have different hash keys, so
+The table of sources is aggregated map-side first, written, and counted: up to `MOST_SOURCES` it is broadcast, so that texts
+are not dealt by source at all; above that both sides are shuffled and a hot source is split by adaptive execution. Copies of one document have different hash keys, so
 the global shuffle is even whatever the sources.
 
 Defined results: a null source is a source of its own; a null text has 0 characters (a source of none but such texts gets
@@ -19,6 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomrank.session import written
+
+#: Sources whose rates are broadcast; the table of one takes some hundreds of bytes.
+MOST_SOURCES = 50_000
 #: Uniform numbers are multiples of 2 ** -52, read from 13 hex digits of an MD5 digest.
 DIGITS = 13
 
@@ -65,7 +69,9 @@ def mix(docs: DataFrame, rates: DataFrame, seed: str = "mix") -> DataFrame:
     """docs, each row as often as its draw says, with copy_no and mix_key, in ascending order of mix_key. Columns of these
     two names in the input are replaced."""
     docs = docs.drop("copy_no", "mix_key")
-    r = rates.select(F.col("source").alias("_s"), F.col("cdf").alias("_cdf"))
+    r = written(rates.select(F.col("source").alias("_s"), F.col("cdf").alias("_cdf")), "rates")
+    if r.count() <= MOST_SOURCES:
+        r = F.broadcast(r)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_id"), F.col("source").alias("_source"))
     n = F.size(F.filter("_cdf", lambda c: c <= uniform(F.col("_id"), seed)))
     drawn = rows.join(r, rows["_source"].eqNullSafe(r["_s"])).select("row", "_id", n.alias("_n")).where("_n > 0")
