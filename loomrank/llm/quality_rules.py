@@ -53,11 +53,8 @@ def covered_words(grams: np.ndarray, owner: np.ndarray, length: int, n_words: in
     hit[order[1:][same]] = True
     hit[order[:-1][same]] = True
     starts = at[hit]
-    step = np.zeros(n_words + 1, dtype=np.int32)
-    np.add.at(step, starts, 1) if len(starts) < 64 else np.add(step, np.bincount(starts, minlength=n_words + 1).astype(np.int32), out=step)
-    ends = starts + length
-    step -= np.bincount(ends, minlength=n_words + 1).astype(np.int32)
-    return np.cumsum(step[:-1]) > 0
+    edge = np.bincount(starts, minlength=n_words + 1) - np.bincount(starts + length, minlength=n_words + 1)
+    return np.cumsum(edge[:-1]) > 0
 
 
 def measure(texts: list[bytes | None]) -> dict[str, np.ndarray]:
