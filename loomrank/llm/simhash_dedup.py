@@ -14,7 +14,8 @@ is lost, with some 36 keys of 36 bits for a fingerprint.
 `wide` keys, for 128 bits and larger radii: pairs of codewords of the segments of each half, all codewords within 4 bits
 on both sides, some 170 keys. A pair within the radius is met with a probability: by measurement 0.99 at a Jaccard
 similarity of 0.9 of five-word shingles, about 0.9 at 0.8. There the radius is set wide (24 bits, a similarity of about
-0.73) and every link found is verified: the shingle sets of both texts are compared, and links below `least` go.
+0.73) and every link found is verified: the shingle sets of both texts are compared, and links below `least` go. The forest
+of a component that falls apart by that says nothing of its other pairs, so those are all compared (`missed_links`).
 
 Keys are shuffled with the fingerprint, sorted, and streamed; within a bucket the distances are taken in numpy and only a
 spanning forest of the links is given out, the closest links first, so a bucket never yields all its pairs. A bucket of over `bucket` distinct
@@ -42,6 +43,9 @@ from loomrank.llm.common import as_bytes, bound_batches, chunks, connected_compo
 SEGMENTS = (22, 21, 21)
 SEED = 42
 BUCKET = 8192
+#: Documents and bytes of shingle sets in a block of a component that is compared anew.
+BLOCK = 256
+BLOCK_BYTES = 4 << 20
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -279,9 +283,8 @@ def small_ids(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= MOST_BROADCAST_IDS else ids
 
 
-def verified(links: DataFrame, docs: DataFrame, width: int, least: float) -> DataFrame:
-    """The links (a, b) between documents whose sets of shingles have a Jaccard similarity of `least` or more. Only the
-    texts at the ends of links move."""
+def shingle_sets(links: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, shingles) of the documents at the ends of links(a, b): sorted distinct hashes. Only those texts move."""
     ends = written(links.select(F.col("a").alias("doc_id")).union(links.select("b")).distinct(), "link-ends")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_ids(ends), "doc_id", "left_semi")
 
@@ -292,7 +295,11 @@ def verified(links: DataFrame, docs: DataFrame, width: int, least: float) -> Dat
         give_back()
 
     sets = texts.mapInArrow(gather, "doc_id long, shingles binary").groupBy("doc_id").agg(F.max("shingles").alias("shingles"))
-    sets = written(sets, "shingles")
+    return written(sets, "shingles")
+
+
+def verified(links: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The links (a, b) between documents whose sets of shingles have a Jaccard similarity of `least` or more."""
     left, right = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,6 +315,69 @@ def verified(links: DataFrame, docs: DataFrame, width: int, least: float) -> Dat
     return links.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
+def set_links(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, least: float) -> tuple[list[int], list[int]]:
+    """Edges, by row, that join all rows of different labels whose sets have a similarity of `least` or more: rows joined
+    already are not compared again. Where there are two sides, only rows of different ones are compared."""
+    size = np.array([len(x) for x in sets], dtype=np.int64)
+    words, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(size)
+    mark = np.zeros(len(words), dtype=bool)
+    label, cross = label.copy(), side.min() != side.max()
+    a, b = [], []
+    for i in range(len(sets) - 1):
+        ask = label[i + 1 :] != label[i]
+        if cross:
+            ask &= side[i + 1 :] != side[i]
+        n = size[i + 1 :]
+        ask &= np.minimum(n, size[i]) >= least * np.maximum(n, size[i])
+        rows = i + 1 + np.flatnonzero(ask)
+        if not len(rows):
+            continue
+        mine = codes[ends[i] - size[i] : ends[i]]
+        mark[mine] = True
+        lengths = size[rows]
+        stops = np.cumsum(lengths)
+        met = np.cumsum(mark[codes[np.repeat(ends[rows] - stops, lengths) + np.arange(stops[-1])]])
+        mark[mine] = False
+        upto = np.concatenate([[0], met])[np.concatenate([[0], stops])]
+        common = np.diff(upto)
+        for j in rows[common >= least * (size[i] + lengths - common)].tolist():
+            if label[j] != label[i]:
+                a.append(i)
+                b.append(j)
+                label[label == label[j]] = label[i]
+    return a, b
+
+
+def missed_links(links: DataFrame, parts: DataFrame, sets: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """(a, b): the verified links, between components, that a forest of unverified ones stands for. links: the forest,
+    parts(node, component): what its verified edges join. Components with rejected edges between them are compared anew,
+    all pairs, as pairs of blocks of bounded size, many tasks for one group; a pair of blocks gives a spanning forest."""
+    for end in ("a", "b"):
+        known = parts.select(F.col("node").alias(end), F.col("component").alias("of"))
+        links = links.join(known, end, "left").withColumn(end, F.coalesce("of", end)).drop("of")
+    whole = connected_components(links.where("a <> b")).select(F.col("node").alias("label"), F.col("component").alias("whole"))
+    nodes = sets.select(F.col("doc_id").alias("node")).join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("label"))
+    nodes = nodes.join(whole, "label").select("node", "whole", "label")
+    sized = nodes.join(sets.select("doc_id", F.length("shingles").alias("bytes")), nodes["node"] == F.col("doc_id"))
+    count = F.greatest(F.ceil(F.count("*") / F.lit(block)), F.ceil(F.sum("bytes") / F.lit(BLOCK_BYTES)))
+    # two documents are one link, which was verified
+    torn = sized.groupBy("whole").agg(count.cast("int").alias("blocks"), F.count("*").alias("n")).where("n > 2")
+    mine = F.pmod(F.xxhash64(F.lit(2), "node"), F.col("blocks")).cast("int")
+    dealt = nodes.join(torn.select("whole", "blocks"), "whole").withColumn("mine", mine)
+    dealt = written(dealt.join(sets, dealt["node"] == sets["doc_id"]).select("whole", "label", "blocks", "mine", "shingles"), "torn")
+    pair = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pair = pair.select(F.struct("whole", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")).alias("key"), "label", "mine", "shingles")
+
+    def compare(group: pa.Table) -> pa.Table:
+        label, side = group.column("label").to_numpy(), group.column("mine").to_numpy()
+        held = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in group.column("shingles")]
+        a, b = set_links(held, label, side, least)
+        return pa.table({"a": pa.array(label[np.array(a, dtype=np.int64)], pa.int64()), "b": pa.array(label[np.array(b, dtype=np.int64)], pa.int64())})
+
+    return pair.groupBy("key").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 128, most: int = 24, least: float | None = 0.8, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, f0[, f1], component_id) for each row of docs(doc_id, text). least: the similarity to verify links by, None to
     go by fingerprints alone; documents of equal fingerprints are linked in either case."""
@@ -317,8 +387,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 128, most: int
     links = near_links(nodes.where("id IS NOT NULL"), bits, most, bucket)
     if least is not None:
         pair = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = verified(written(pair, "found-links"), docs, width, least)
+        pair = written(pair, "found-links")
+        sets = shingle_sets(pair, docs, width)
+        links = written(verified(pair, sets, least), "sound-links")
     parts = connected_components(links)
+    if least is not None and links.count() < pair.count():
+        parts = written(parts, "parts")
+        more = connected_components(missed_links(pair, parts, sets, least)).select(F.col("node").alias("label"), F.col("component").alias("joined"))
+        every = sets.select(F.col("doc_id").alias("node")).join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("label"))
+        parts = every.join(more, "label", "left").select("node", F.coalesce("joined", "label").alias("component"))
     named = nodes.join(parts, nodes["id"] == parts["node"], "left").select(*names, F.coalesce("component", "id").alias("component_id"))
     return prints.join(named, names).select("doc_id", *names, "component_id")
 

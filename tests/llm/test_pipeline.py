@@ -100,3 +100,28 @@ def test_links_are_those_of_the_similarity(spark):
     assert sum(found[b] == a for a, b in alike) >= 0.93 * len(alike) > 50
     assert all(found[b] == b for a, b in pairs if (a, b) not in alike)
     assert all(found[a] == a for a, _ in pairs)
+
+
+def test_groups_around_the_threshold(spark):
+    """Hundreds of variants of one text, most pairs below 0.8: the groups are those of all verified pairs."""
+    rng = np.random.default_rng(5)
+    base = [f"w{x}" for x in rng.integers(0, 100_000, 300)]
+    texts = {}
+    for i in range(400):
+        words = list(base)
+        for k in rng.choice(300, 5, replace=False):
+            words[k] = f"changed{i}x{k}"
+        texts[i] = " ".join(words)
+    sets = {i: shingles(t) for i, t in texts.items()}
+    group = {i: i for i in texts}
+    for i in texts:
+        for j in range(i + 1, len(texts)):
+            if group[i] != group[j] and similar(sets[i], sets[j]):
+                a, b = sorted((group[i], group[j]))
+                group = {k: a if g == b else g for k, g in group.items()}
+    assert 5 < len(texts) - len(set(group.values())) < 300
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in simhash_dedup.near_duplicates(docs).collect()}
+    print("groups", len(set(found.values())), len(set(group.values())))
+    assert all(found[i] in (i, group[i]) for i in texts)
+    assert sum(found[i] != group[i] for i in texts) <= 2
