@@ -3,7 +3,9 @@
 The target weight of a source asks for a number of characters in the mix; divided by what the source has, it is the mean
 repetition rate of the source's documents. Each document gets a uniform number from a seeded hash of its doc_id, and the
 Poisson distribution of its source's rate is inverted at it: the number of copies is the number of cumulative
-probabilities that lie at or below it. Copies are exploded and the whole is put in the order of a second hash.
+probabilities that lie at or below it. A rate above `MOST_RATE`, where exp(-rate) comes near to vanishing, is split evenly
+into several draws with seeds of their own, whose sum has the same distribution. Copies are exploded and the whole is put
+in the order of a second hash.
 
 The table of sources is aggregated map-side first, written, and counted: up to `MOST_SOURCES` it is broadcast, so that texts
 are not dealt by source at all; above that both sides are shuffled and a hot source is split by adaptive execution. Copies of one document have different hash keys, so
@@ -23,13 +25,16 @@ from loomrank.session import written
 
 #: Sources whose rates are broadcast; the table of one takes some hundreds of bytes.
 MOST_SOURCES = 50_000
+#: Mean of a single draw at most.
+MOST_RATE = 500
 #: Uniform numbers are multiples of 2 ** -52, read from 13 hex digits of an MD5 digest.
 DIGITS = 13
 
 
-def uniform(key: Column, seed: str) -> Column:
-    """A number in [0, 1) from a seeded hash of key."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("null"))))
+def uniform(key: Column, seed: str, draw: Column | None = None) -> Column:
+    """A number in [0, 1) from a seeded hash of key; draw: number of a further draw."""
+    start = F.lit(f"{seed}:") if draw is None else F.concat(F.lit(f"{seed}+"), draw.cast("string"), F.lit(":"))
+    digest = F.md5(F.concat(start, F.coalesce(key.cast("string"), F.lit("null"))))
     return F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("double") / F.lit(float(16**DIGITS))
 
 
@@ -46,10 +51,10 @@ def poisson_cdf(rate: Column) -> Column:
 
 
 def source_rates(docs: DataFrame, weights: DataFrame | None = None, temperature: float = 0.5, total_chars: int | None = None) -> DataFrame:
-    """(source, rate, cdf). weights(source, weight): any positive scale; None: characters to the power of temperature.
+    """(source, rate, draws, cdf), the cdf that of each draw. weights(source, weight): any positive scale; None: characters
+    to the power of temperature.
 
-    total_chars: size of the mix; None: as many as the input has. Rates above 500 are composed by their caller from
-    several passes: exp(-rate) must not vanish.
+    total_chars: size of the mix; None: as many as the input has.
     """
     sizes = docs.groupBy("source").agg(F.sum(F.coalesce(F.length("text"), F.lit(0))).cast("double").alias("chars"))
     if weights is None:
@@ -61,19 +66,22 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None, temperature:
     goal = F.lit(float(total_chars)) if total_chars is not None else F.col("all_chars")
     rate = F.when(F.col("chars") > 0, F.col("weight") / F.col("all_weight") * goal / F.col("chars")).otherwise(F.lit(1.0))
     rated = weighed.crossJoin(F.broadcast(sums)).select("source", rate.alias("rate"))  # sums is one row
-    rated = rated.withColumn("rate", F.when(F.col("rate") > 500, F.raise_error(F.lit("rate above 500")).cast("double")).otherwise(F.coalesce("rate", F.lit(0.0))))
-    return rated.withColumn("cdf", poisson_cdf(F.col("rate")))
+    rated = rated.withColumn("rate", F.coalesce("rate", F.lit(0.0)))
+    rated = rated.withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / MOST_RATE)).cast("int"))
+    return rated.withColumn("cdf", poisson_cdf(F.col("rate") / F.col("draws")))
 
 
 def mix(docs: DataFrame, rates: DataFrame, seed: str = "mix") -> DataFrame:
     """docs, each row as often as its draw says, with copy_no and mix_key, in ascending order of mix_key. Columns of these
     two names in the input are replaced."""
     docs = docs.drop("copy_no", "mix_key")
-    r = written(rates.select(F.col("source").alias("_s"), F.col("cdf").alias("_cdf")), "rates")
+    r = written(rates.select(F.col("source").alias("_s"), F.col("draws").alias("_draws"), F.col("cdf").alias("_cdf")), "rates")
     if r.count() <= MOST_SOURCES:
         r = F.broadcast(r)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_id"), F.col("source").alias("_source"))
     n = F.size(F.filter("_cdf", lambda c: c <= uniform(F.col("_id"), seed)))
+    more = F.aggregate(F.sequence(F.lit(1), F.col("_draws") - 1), F.lit(0), lambda sum_, i: sum_ + F.size(F.filter("_cdf", lambda c: c <= uniform(F.col("_id"), seed, i))))
+    n = F.when(F.col("_draws") > 1, n + more).otherwise(n)
     drawn = rows.join(r, rows["_source"].eqNullSafe(r["_s"])).select("row", "_id", n.alias("_n")).where("_n > 0")
     copies = drawn.select("row", "_id", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("copy_no"))
     key = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col("_id").cast("string"), F.lit("null")), F.col("copy_no")))

@@ -153,6 +153,22 @@ def test_mixing_awkward_rows(spark, awkward, no_docs):
     assert mixing.mix(nulls, mixing.source_rates(nulls)).count() > 0
 
 
+def test_mixing_draws_rates_above_500(spark):
+    docs = spark.range(1000).selectExpr("id as doc_id", "if(id < 100, 'rare', 'hot') as source", "if(id < 100, 'a', repeat('b', 500)) as text")
+    rates = mixing.source_rates(docs, spark.createDataFrame([("rare", 1.0), ("hot", 2.0)], "source string, weight double"))
+    rate = {r.source: r.rate for r in rates.collect()}["rare"]
+    assert 1500 < rate < 1502
+    copies = [r["count"] for r in mixing.mix(docs, rates).where("source = 'rare'").groupBy("doc_id").count().collect()]
+    assert len(copies) == 100 and abs(np.mean(copies) - rate) < 5 * (rate / 100) ** 0.5 and 0.5 * rate < np.var(copies) < 1.7 * rate
+
+
+def test_mixing_of_a_tiny_source(spark):
+    """Characters to the power 0.5: a source of one character beside many."""
+    docs = spark.createDataFrame([(0, "odd", "x"), *((i, "main", "y" * 10_000) for i in range(1, 401))], "doc_id long, source string, text string")
+    out = mixing.mix(docs, mixing.source_rates(docs))
+    assert abs(out.where("source = 'odd'").count() - 1999) < 250 and out.where("doc_id = 0").select("copy_no").distinct().count() > 1700
+
+
 def test_mixing_runs_no_python(spark, sf):
     plan = mixing.op9_mixing(spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
