@@ -116,6 +116,18 @@ def test_token_records_equal_whole_text_encoding(spark, sf, awkward):
     assert len({r.file for r in found.collect()}) > 1
 
 
+def test_lowering_is_left_to_the_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    texts = ["\u039f\u0394\u039f\u03a3 \u039b\u039f\u0393\u039f\u03a3.", "J\u030c", "x H\u0331, T\u0308 y W\u030a\u0323", "\u0130stanbul \u1e9e \u01c5 \u212a\u030c", "E\u0301 \u00c9 e\u0301", "A \u03a3 a\u03a3. \u03a3\u0301", "<|ENDOFTEXT|> A", "J\u0323\u030c. Z", "a\u0130. b"]
+    tokenizer = Tokenizer.from_file(token_records.vocabulary())
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.ids_crc32 for r in token_records.token_records(docs, token_records.vocabulary()).collect()}
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        assert got[i] == zlib.crc32(np.array(ids, dtype="<u4").tobytes()), text
+
+
 def test_frames_notice_damage():
     data = token_records.frame(b"abc") + b"\n" + token_records.frame(b"") + b"\n"
     assert [p for _, p in token_records.frames(data)] == [b"abc", b""]
