@@ -14,8 +14,8 @@ The budget is `errors` (a share) of the item's length. An item too short for the
 budget it allows. Documents never move: the items go to them, in blocks of at most `block_bytes`, one pass for each block
 of a large benchmark. Whole texts are read; items are never sampled or cut.
 
-Defined results: null and empty texts have no hit; items that are null or shorter than `least` bytes after normalising
-are passed over; repeated rows each get the same hits, repeated items are one item (the smallest item_id); an empty
+Defined results: null and empty texts have no hit; items that are null or empty after normalising are passed over; items
+without an item_id are searched by `drop_leaks`, and left out of `leaks`, which could not name them; repeated rows each get the same hits, repeated items are one item (the smallest item_id); an empty
 benchmark leaves everything clean. Rows with a null doc_id are judged like others. Extra columns stay in `drop_leaks`.
 """
 
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,20 @@ def budget(length: int, errors: float = ERRORS, q: int = Q) -> int:
     return max(0, min(int(errors * length), (length - q) // q))
 
 
+@dataclass
+class Brief:
+    """Short items of one length, sorted by their first bytes."""
+
+    length: int
+    items: np.ndarray
+    heads: np.ndarray  # the first 8 bytes, or fewer, of each
+    rest: np.ndarray  # the codes at `offsets`, by item
+    offsets: list[int]
+    left: np.ndarray  # whether the first byte belongs to a word
+    right: np.ndarray  # and the last one
+    table: np.ndarray  # of hashed heads
+
+
 @dataclass
 class Items:
     """A block of benchmark items, ready for look-up."""
@@ -61,6 +76,7 @@ class Items:
     spot: np.ndarray  # position of each
     least: np.ndarray  # common q-grams demanded, by item
     allowed: np.ndarray  # edits allowed, by item
+    brief: list[Brief]  # short items, by length
 
 
 def codes(data: bytes) -> np.ndarray:
@@ -74,8 +90,63 @@ def slot(grams: np.ndarray) -> np.ndarray:
     return (grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)
 
 
-def prepare(ids: list[int], texts: list[bytes], errors: float) -> Items:
-    parts = [codes(t) for t in texts]
+#: Bytes that belong to words: letters, digits, and all of multi-byte characters.
+WORDY = np.array([chr(c).isalnum() if c < 128 else True for c in range(256)])
+
+
+def heads_of(data: bytes, length: int) -> np.ndarray:
+    """The first bytes, 8 at most, of the `length` bytes from each position as one number."""
+    found = codes(data + SEPARATOR * 8)[: max(0, len(data) - length + 1)]
+    return found if length >= Q else found & np.uint64((1 << 8 * length) - 1)
+
+
+def prepare_brief(texts: list[bytes], at: list[int]) -> list[Brief]:
+    """The short items, those of the numbers `at`."""
+    by_length: dict[int, list[int]] = {}
+    for i in at:
+        by_length.setdefault(len(texts[i]), []).append(i)
+    out = []
+    for n, items in sorted(by_length.items()):
+        heads = np.array([heads_of(texts[i], n)[0] for i in items], dtype=np.uint64)
+        order = np.argsort(heads, kind="stable")
+        offsets = [*range(Q, n - Q, Q), n - Q] if n > Q else []
+        rest = np.array([codes(texts[i])[offsets] if offsets else [] for i in items], dtype=np.uint64).reshape(len(items), -1)
+        left, right = (np.array([WORDY[texts[i][k]] for i in items]) for k in (0, -1))
+        table = np.zeros(1 << TABLE_BITS, dtype=bool)
+        table[slot(heads)] = True
+        out.append(Brief(n, np.array(items)[order], heads[order], rest[order], offsets, left[order], right[order], table))
+    return out
+
+
+def brief_hits(data: bytes, begins: np.ndarray, items: Items) -> Iterator[tuple[int, int, int, int]]:
+    """(document, item, 0, position) of short items, the first place of each in a document; data holds documents joined by
+    separators."""
+    if not items.brief:
+        return
+    wordy = np.concatenate([[False], WORDY[np.frombuffer(data, dtype=np.uint8)], [False]])  # of the byte before each position
+    grams = codes(data)
+    for b in items.brief:
+        heads = heads_of(data, b.length)
+        at = np.flatnonzero(b.table[slot(heads)])
+        first = np.searchsorted(b.heads, heads[at], side="left")
+        n = np.searchsorted(b.heads, heads[at], side="right") - first
+        where = np.repeat(at, n)
+        which = np.arange(len(where)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+        ok = ~(wordy[where] & b.left[which]) & ~(wordy[where + b.length + 1] & b.right[which])
+        for k, offset in enumerate(b.offsets):
+            where, which = where[ok], which[ok]
+            ok = grams[where + offset] == b.rest[which, k]
+        where, item = where[ok], b.items[which[ok]]
+        doc = np.searchsorted(begins, where, side="right") - 1
+        order = np.lexsort((where, item, doc))
+        doc, item, where = doc[order], item[order], where[order]
+        new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])])[: len(doc)])
+        yield from zip(doc[new].tolist(), item[new].tolist(), [0] * len(new), where[new].tolist(), strict=True)
+
+
+def prepare(ids: list[int], texts: list[bytes], errors: float, brief_below: int = LEAST) -> Items:
+    brief = prepare_brief(texts, [i for i, t in enumerate(texts) if len(t) < max(brief_below, Q)])
+    parts = [codes(t) if len(t) >= max(brief_below, Q) else codes(b"") for t in texts]
     owner = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
     spot = np.concatenate([np.arange(len(p)) for p in parts]) if parts else np.zeros(0, dtype=np.int64)
     grams = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
@@ -84,7 +155,7 @@ def prepare(ids: list[int], texts: list[bytes], errors: float) -> Items:
     table[slot(grams)] = True
     allowed = np.array([budget(len(t), errors) for t in texts], dtype=np.int64)
     least = np.array([len(t) - Q + 1 for t in texts], dtype=np.int64) - allowed * Q
-    return Items(ids, texts, table, grams[order], owner[order], spot[order], least, allowed)
+    return Items(ids, texts, table, grams[order], owner[order], spot[order], least, allowed, brief)
 
 
 def banded_distance(item: bytes, region: bytes, low: int, high: int, most: int) -> int | None:
@@ -163,28 +234,30 @@ def judge(texts: list[bytes | None], items: Items) -> list[dict[int, tuple[int,
     forms = [normalised(t) for t in texts]
     begins = np.concatenate([[0], np.cumsum([len(f) + 1 for f in forms])])[:-1]
     out: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
-    for doc, item, distance, place in hits(SEPARATOR.join(forms), begins, items):
+    data = SEPARATOR.join(forms)
+    for doc, item, distance, place in chain(hits(data, begins, items), brief_hits(data, begins, items)):
         best = out[doc].get(item)
         if best is None or (distance, place) < best:
             out[doc][item] = (distance, place)
     return out
 
 
-def blocks_of(benchmark: DataFrame, errors: float, least: int, block_bytes: int) -> Iterator[Items]:
-    """The distinct normalised items in blocks of bounded size, streamed to the driver one partition at a time."""
+def blocks_of(benchmark: DataFrame, errors: float, least: int, block_bytes: int, nameless: bool = False) -> Iterator[Items]:
+    """The distinct normalised items in blocks of bounded size, streamed to the driver one partition at a time. nameless:
+    with those that have no item_id."""
     forms: dict[bytes, int] = {}
     held = 0
-    rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), F.col("text").cast("binary"))
+    rows = benchmark.where("text IS NOT NULL" if nameless else "item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), F.col("text").cast("binary"))
     for item_id, text in rows.orderBy("item_id").toLocalIterator():
         form = normalised(bytes(text))
-        if len(form) >= max(least, Q) and form not in forms:
+        if form and form not in forms:
             forms[form] = item_id
             held += len(form)
         if held >= block_bytes:
-            yield prepare(list(forms.values()), list(forms), errors)
+            yield prepare(list(forms.values()), list(forms), errors, least)
             forms, held = {}, 0
     if forms:
-        yield prepare(list(forms.values()), list(forms), errors)
+        yield prepare(list(forms.values()), list(forms), errors, least)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, least: int = LEAST, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -210,7 +283,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, least:
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, least: int = LEAST, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs without the rows that hold an item, one map for each block of items."""
     bound_batches(docs.sparkSession)
-    for items in blocks_of(benchmark, errors, least, block_bytes):
+    for items in blocks_of(benchmark, errors, least, block_bytes, nameless=True):
 
         def run(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             for part in chunks(batches, "text", 2 << 20):

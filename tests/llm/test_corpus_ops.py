@@ -213,6 +213,34 @@ def test_decontamination_of_awkward_rows(spark, awkward, no_docs):
     assert decontaminate.drop_leaks(awkward, bench.where("false")).count() == awkward.count()
 
 
+def test_short_items_and_items_without_id(spark):
+    items = ["Who wrote Hamlet?", "art", "a", "is 7 * 6", "twelve b", "exactly eight+ bytes and more!!", "(x)", "\u00e9t\u00e9", None, " ", "abababab"]
+    texts = ["He asked: who  WROTE\nhamlet? Nobody", "party of one", "modern art, again", "xwho wrote hamlet?", "this is 7 * 6.", "twelve bees", "ends in twelve b", "EXACTLY eight+ bytes and more!!",
+             "f(x)y", "l'\u00e9t\u00e9", "\u00e9t\u00e9s", None, "", "ababababab abababab", "it is a", "art", "whole sentence without an id", "a"]
+    form = decontaminate.normalised
+
+    def holds(item, text):
+        at = text.find(item)
+        while at >= 0:
+            wordy = lambda c: c.isalnum() or c >= b"\x80"
+            before, after = text[at - 1 : at] if at else b"", text[at + len(item) : at + len(item) + 1]
+            if not (before and wordy(before) and wordy(item[:1])) and not (after and wordy(after) and wordy(item[-1:])):
+                return True
+            at = text.find(item, at + 1)
+        return False
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = {(d, i) for d, t in enumerate(texts) for i, x in enumerate(items) if t and x and x.strip() and holds(form(x.encode()), form(t.encode()))}
+    assert {(0, 0), (2, 1), (4, 3), (6, 4), (7, 5), (8, 6), (9, 7), (13, 10), (14, 2)} <= expected and not {(1, 1), (3, 0), (5, 4), (10, 7)} & expected
+    for block_bytes in (1 << 20, 12):
+        found = decontaminate.leaks(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string"), block_bytes=block_bytes).collect()
+        assert {(r.doc_id, r.item_id) for r in found} == expected and all(r.distance == 0 for r in found)
+    unnamed = spark.createDataFrame([(None, "whole sentence without"), (None, "A sentence of some length, without an id.")], "item_id long, text string")
+    more = docs.union(spark.createDataFrame([(99, "here: a sentence of some length, without an id.")], "doc_id long, text string"))
+    assert decontaminate.leaks(more, unnamed).count() == 0
+    assert {r.doc_id for r in decontaminate.drop_leaks(more, unnamed).collect()} == set(range(len(texts))) - {16}
+
+
 def test_verbatim_items_in_the_tables(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     items = spark.read.parquet(f"{sf}/benchmark.parquet").collect()
