@@ -63,7 +63,7 @@ def score_corpus(docs: DataFrame, order: int = ORDER, least_count: int = LEAST_C
         keys, counts = keys[place], values[0][place]
         at = runs(keys)
         total = np.add.reduceat(counts, at)
-        return keys[at], (total >= least_count) | (keys[at] == TOTAL), [total]
+        return keys[at], (total >= min(least_count, 2)) | (keys[at] == TOTAL), [total]  # words and contexts have no least count
 
     def conclude(ids, texts, got):
         hashes, owner = word_hashes(texts)

@@ -132,6 +132,13 @@ def test_scores(spark, sf, awkward, order, block_bytes):
         assert a[3] == b[3] or abs(a[3] - b[3]) < 2e-6
 
 
+def test_least_count_is_for_longer_ngrams(spark):
+    docs = spark.createDataFrame([(1, "a b a")], "doc_id long, text string")
+    row = lm_scoring.score_corpus(docs, least_count=3).first()
+    expected = np.log10([2 / 3, 0.4 / 3, 0.4 * 2 / 3]).mean()
+    assert row.n_backoff == 2 and abs(row.score - expected) < 1e-9
+
+
 def test_scores_agree_with_sql(spark, sf):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
