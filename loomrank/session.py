@@ -52,12 +52,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Plan nodes after which rows have moved between partitions, so that their order may differ when they are worked out again.
+MOVING = frozenset(("Join", "AsOfJoin", "Aggregate", "Window", "Sort", "Repartition", "RepartitionByExpression", "RebalancePartitions", "Deduplicate", "Distinct", "Intersect", "Except", "GlobalLimit", "InMemoryRelation", "FlatMapGroupsInArrow", "FlatMapGroupsInPandas", "FlatMapCoGroupsInArrow", "FlatMapCoGroupsInPandas"))
+
+
+def moves_rows(df: DataFrame) -> bool:
+    """Whether the plan of df has a node that moves rows between partitions."""
+    left = [df._jdf.queryExecution().optimizedPlan()]
+    while left:
+        node = left.pop()
+        if node.getClass().getSimpleName() in MOVING:
+            return True
+        children = node.children()
+        left.extend(children.apply(i) for i in range(children.size()))
+    return False
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df in at least as many partitions as there are cores: a small file is a single partition, which dear expressions
     would leave to one task. Large inputs have more partitions than that and are not shuffled; nor is what comes out of a
     shuffle, whose partitions can't be counted without running it."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if any(node in plan for node in ("Join", "Aggregate", "Window", "Sort", "Repartition", "Deduplicate")):
+    if moves_rows(df):
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df as something that gives the same rows in the same order whenever a task is run again: read straight from its
+    source, or else written and read back; in as many partitions as there are cores where a small file is fewer."""
+    if moves_rows(df):
+        return written(df, "settled")
+    wide = spread(df)
+    return df if wide is df else written(wide, "settled")
