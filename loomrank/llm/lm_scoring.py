@@ -3,99 +3,151 @@
 Every document's n-grams are exploded inside its block, the block's counts are added up and sent to the n-gram's hash
 bucket, the count tables of a bucket are summed over all blocks and joined back to the blocks that hold the n-gram, and
 the scores of a document's positions are summed. What is gathered grows with the corpus; no vocabulary is fixed and no
-n-gram is dropped before it is counted.
+n-gram that can reach a count of two is left out: one of three words or more is asked for in a later round, and only
+where both its first and its last n - 1 words were counted twice or more, without which it can't be either.
 
 S(w | context) = c(context w) / c(context) where c(context w) >= least_count, else `backoff` times S with a shorter
 context; S(w) = c(w) / N. The score is the mean log10 S over the words of a document.
 
 Defined results: null, empty and white texts have 0 words and a null score; the first words of a text have as much
 context as there is; repeated rows count as often as they come; rows with a null doc_id are counted and scored like
-others. Extra columns are left out.
+others; an empty table gives no rows. Extra columns are left out.
 """
 
 from __future__ import annotations
 
+from functools import reduce as fold
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomrank.llm.blocks import BLOCK_BYTES, Blocks, gathered, mixed, runs, word_hashes
+from loomrank.llm.blocks import BLOCK_BYTES, Blocks, gathered, mixed, runs
 from loomrank.llm.common import MULT
 
 TOTAL = np.uint64(0)  # the key under which all words are counted
 BACKOFF = 0.4
-ORDER = 2
+ORDER = 3
 LEAST_COUNT = 2
 
 
-def ngram_keys(hashes: np.ndarray, owner: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For n = 1 to order: keys of the n-grams, and the place of the last word of each."""
-    out, grams = [], hashes
-    for n in range(1, order + 1):
+class Grams:
+    """The n-grams of a block's texts, asked for in rounds: of one and two words first, then of one word more each.
+
+    `places[n]` are the positions (of last words) whose n-gram has been asked for, `counts[n]` the count in the corpus at
+    every position, 0 where it isn't known.
+    """
+
+    def __init__(self, texts: list[bytes | None], order: int, enough: int):
+        lists = [t.split() if t else [] for t in texts]
+        self.n_docs, self.sizes = len(texts), np.fromiter(map(len, lists), np.int64, len(lists))
+        self.hashes = np.fromiter((xxhash.xxh64_intdigest(w) for ws in lists for w in ws), np.uint64, int(self.sizes.sum()))
+        self.owner = np.repeat(np.arange(self.n_docs, dtype=np.int32), self.sizes)
+        self.order, self.enough = order, enough
+        self.grams, self.n = self.hashes, 0
+        self.places: dict[int, np.ndarray] = {}
+        self.counts: dict[int, np.ndarray] = {}
+        self.total = 0
+
+    def inside(self, n: int) -> np.ndarray:
+        """Positions that have n words of their document up to them."""
+        out = np.zeros(len(self.owner), dtype=bool)
+        out[n - 1 :] = self.owner[n - 1 :] == self.owner[: max(0, len(self.owner) - n + 1)]
+        return out
+
+    def _add(self) -> np.ndarray:
+        """The keys of the n-grams of one word more that can matter."""
+        n = self.n = self.n + 1
         if n > 1:
-            grams = (grams[:-1] * MULT + hashes[n - 1 :]) if len(grams) > 1 else grams[:0]
-        inside = owner[: len(grams)] == owner[n - 1 :] if len(grams) else np.zeros(0, dtype=bool)
-        at = np.flatnonzero(inside)
-        out.append((np.maximum(mixed(grams[at] + np.uint64(n)), TOTAL + np.uint64(1)), at + n - 1))
-    return out
-
-
-def distinct_keys(grams: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The key of the total, and the sorted distinct keys of a block."""
-    keys = np.sort(np.concatenate([k for k, _ in grams]))
-    return np.concatenate([[TOTAL], keys[runs(keys)]])
+            self.grams = np.concatenate([self.grams[:1] * MULT, self.grams[:-1] * MULT + self.hashes[1:]])
+        wanted = self.inside(n)
+        if n > 2:
+            often = self.counts[n - 1] >= self.enough
+            wanted[1:] &= often[1:] & often[:-1]
+        self.places[n] = np.flatnonzero(wanted)
+        return np.maximum(mixed(self.grams[self.places[n]] + np.uint64(n)), TOTAL + np.uint64(1))
+
+    def ask(self) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The sorted distinct keys of the next round, and how often the block has each."""
+        first = self.n == 0
+        keys = np.concatenate([self._add() for _ in range(min(2, self.order) if first else 1)])
+        order = np.argsort(keys)
+        keys = keys[order]
+        at = runs(keys)
+        counts = np.diff(np.append(at, len(keys)))
+        self.row = np.empty(len(keys), dtype=np.int64)
+        self.row[order] = np.repeat(np.arange(len(at)), counts)
+        keys, counts = keys[at], counts.astype(np.int64)
+        if first:
+            self.row += 1
+            keys, counts = np.concatenate([[TOTAL], keys]), np.concatenate([[len(self.hashes)], counts])
+        self.asked = (1, 2)[: self.order] if first else (self.n,)
+        return keys, [counts]
+
+    def learn(self, answer: np.ndarray) -> None:
+        """The counts in the corpus of the keys of the last round."""
+        if self.asked[0] == 1:
+            self.total = int(answer[0])
+        found = answer[self.row].astype(np.float64)
+        for n in self.asked:
+            own, found = found[: len(self.places[n])], found[len(self.places[n]) :]
+            self.counts[n] = np.zeros(len(self.hashes))
+            self.counts[n][self.places[n]] = np.maximum(own, 1.0) if n == 1 else own  # a word without an answer is counted once
+
+    def score(self, least_count: int, backoff: float) -> tuple[np.ndarray, np.ndarray]:
+        """log10 S at each position, and whether it was not scored by the longest context there is."""
+        score = np.log10(self.counts[1]) - np.log10(max(1.0, float(self.total)))
+        missed = np.zeros(len(score), dtype=bool)
+        for n in range(2, self.order + 1):
+            inside, c = self.inside(n), self.counts[n]
+            known = inside & (c >= max(least_count, 1))
+            at = np.flatnonzero(known)
+            score[inside & ~known] += np.log10(backoff)
+            score[at] = np.log10(c[at]) - np.log10(self.counts[n - 1][at - 1])
+            missed[inside] = ~known[inside]
+        return score, missed
 
 
 def score_corpus(docs: DataFrame, order: int = ORDER, least_count: int = LEAST_COUNT, backoff: float = BACKOFF, block_bytes: int = 2 * BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_backoff (positions not scored by the longest context they have), score."""
     blocks = Blocks(docs, block_bytes)
-
-    def summarise(ids, texts, _):
-        hashes, owner = word_hashes(texts)
-        keys = np.sort(np.concatenate([k for k, _ in ngram_keys(hashes, owner, order)]))
-        at = runs(keys)
-        counts = np.diff(np.append(at, len(keys)))
-        return np.concatenate([[TOTAL], keys[at]]), [np.concatenate([[len(hashes)], counts]).astype(np.int64)]
-
-    def reduce(keys, values):
+    enough = min(max(least_count, 1), 2)
+    rounds = max(1, order - 1)
+
+    def after(texts: list[bytes | None], got: pa.Table | None, n_rounds: int) -> Grams:
+        """The n-grams of a block with the answers of so many rounds."""
+        grams = Grams(texts, order, enough)
+        for turn in range(n_rounds):
+            grams.ask()
+            (answer,) = gathered(got, turn)[1] or [np.zeros(0, dtype=np.int64)]
+            grams.learn(answer)
+        return grams
+
+    def summed(keys, values):
+        """The count table of a bucket: n-grams with their counts in the corpus, and which of them matter."""
         place = np.argsort(keys)
         keys, counts = keys[place], values[0][place]
         at = runs(keys)
         total = np.add.reduceat(counts, at)
-        return keys[at], (total >= min(least_count, 2)) | (keys[at] == TOTAL), [total]  # words and contexts have no least count
+        return keys[at], (total >= enough) | (keys[at] == TOTAL), [total]  # words and contexts have no least count
 
     def conclude(ids, texts, got):
-        hashes, owner = word_hashes(texts)
-        n_docs, n_words = len(texts), len(hashes)
-        grams = ngram_keys(hashes, owner, order)
-        keys = distinct_keys(grams)
-        (values,) = gathered(got)[1]
-
-        def counts(wanted):
-            return values[np.searchsorted(keys, wanted)].astype(np.float64)
-
-        shorter = np.maximum(counts(grams[0][0]), 1.0)  # a word without an answer is one counted once
-        score = np.log10(shorter) - np.log10(max(1.0, float(values[0])))
-        missed = np.zeros(n_words, dtype=bool)
-        context = shorter
-        for found, last in grams[1:]:
-            c = counts(found)
-            known = c >= max(least_count, 1)
-            score[last] = np.where(known, np.log10(np.where(known, c, 1)) - np.log10(np.maximum(context[last - 1], 1)), np.log10(backoff) + score[last])
-            missed[last] = ~known
-            context = np.zeros(n_words)
-            context[last] = c
-        size = np.bincount(owner, minlength=n_docs)
-        sums = np.bincount(owner, weights=score, minlength=n_docs)
+        grams = after(texts, got, rounds)
+        score, missed = grams.score(least_count, backoff)
+        sums = np.bincount(grams.owner, weights=score, minlength=grams.n_docs)
         return {
-            "doc_id": ids, "n_words": size, "n_backoff": np.bincount(owner, weights=missed, minlength=n_docs).astype(np.int64),
-            "score": [s / n if n else None for s, n in zip(sums.tolist(), size.tolist(), strict=True)],
+            "doc_id": ids, "n_words": grams.sizes, "n_backoff": np.bincount(grams.owner, weights=missed, minlength=grams.n_docs).astype(np.int64),
+            "score": [s / n if n else None for s, n in zip(sums.tolist(), grams.sizes.tolist(), strict=True)],
         }
 
+    answers = [blocks.exchange(blocks.ask_first(lambda ids, texts: Grams(texts, order, enough).ask()), summed, aligned=True)]
+    for turn in range(1, rounds):
+        asked = blocks.ask(lambda ids, texts, got, turn=turn: after(texts, got, turn).ask(), fold(DataFrame.union, answers))
+        answers.append(blocks.exchange(asked, summed, aligned=True, turn=turn))
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_backoff", pa.int64()), ("score", pa.float64())])
-    answers = blocks.exchange(blocks.ask(summarise), reduce, aligned=True)
-    return blocks.finish(conclude, answers, schema, "doc_id long, n_words long, n_backoff long, score double")
+    return blocks.finish(conclude, fold(DataFrame.union, answers), schema, "doc_id long, n_words long, n_backoff long, score double")
 
 
 def op4_lm_scoring(spark, sf_dir: str) -> DataFrame:
@@ -103,17 +155,23 @@ def op4_lm_scoring(spark, sf_dir: str) -> DataFrame:
     return score_corpus(docs).select("doc_id", "n_words", "n_backoff", F.round("score", 6).alias("score"))
 
 
+#: The same by DuckDB: n-grams as lists of words, one join for each order.
 SQL = """
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t-\\r]+'), lambda x: x <> '') AS ws FROM documents),
-t AS (SELECT doc_id, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS p FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)),
+t AS (SELECT doc_id, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS p, CASE WHEN i > 2 THEN ws[i - 2] END AS q
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)),
 u AS (SELECT w, count(*) AS c FROM t GROUP BY w),
 b AS (SELECT p, w, count(*) AS c FROM t WHERE p IS NOT NULL GROUP BY p, w),
+g AS (SELECT q, p, w, count(*) AS c FROM t WHERE q IS NOT NULL GROUP BY q, p, w),
 n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM t),
-s AS (SELECT t.doc_id, coalesce(b.c, 0) < 2 AND t.p IS NOT NULL AS missed,
-             CASE WHEN t.p IS NULL THEN log10(u.c) - log10(n.n)
-                  WHEN b.c >= 2 THEN log10(b.c) - log10(v.c)
-                  ELSE log10(0.4e0) + log10(u.c) - log10(n.n) END AS x
-      FROM t JOIN u ON t.w = u.w LEFT JOIN u v ON t.p = v.w LEFT JOIN b ON t.p = b.p AND t.w = b.w, n)
+s AS (SELECT t.doc_id,
+             CASE WHEN t.q IS NOT NULL THEN coalesce(g.c, 0) < 2 ELSE t.p IS NOT NULL AND coalesce(b.c, 0) < 2 END AS missed,
+             CASE WHEN g.c >= 2 THEN log10(g.c) - log10(a.c)
+                  ELSE CASE WHEN t.q IS NOT NULL THEN log10(0.4e0) ELSE 0e0 END
+                       + CASE WHEN b.c >= 2 THEN log10(b.c) - log10(v.c)
+                              ELSE CASE WHEN t.p IS NOT NULL THEN log10(0.4e0) ELSE 0e0 END + log10(u.c) - log10(n.n) END END AS x
+      FROM t JOIN u ON t.w = u.w LEFT JOIN u v ON t.p = v.w LEFT JOIN b ON t.p = b.p AND t.w = b.w LEFT JOIN b a ON t.q = a.p AND t.p = a.w
+           LEFT JOIN g ON t.q = g.q AND t.p = g.p AND t.w = g.w, n)
 SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(count(*) FILTER (WHERE s.missed) AS BIGINT) AS n_backoff,
        round(avg(s.x), 6) AS score
 FROM d LEFT JOIN s ON d.doc_id = s.doc_id GROUP BY d.doc_id, d.ws

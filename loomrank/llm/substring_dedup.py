@@ -1,33 +1,35 @@
 """Substring dedup by recompression.
 
-The words of a text are named by 64-bit hashes; rounds then shorten the sequence of names. A round of runs names each
-maximal run of one name; a round of pairs splits the names by a hash bit into left and right ones and names every left
-one followed by a right one as a pair. A name is a hash of what it stands for, so it is the same in every document and no
-dictionary is needed to name globally. What a symbol looks like depends on the words it covers and on few words around
-them (its context, carried along), so equal substrings get equal symbols wherever the context lies inside.
+The words of a text are named by hashes; rounds then shorten the sequence of names. A round of runs names each maximal run
+of one name; a round of pairs splits the names by a hash bit into left and right ones and names every left one followed by
+a right one as a pair. A name is a hash of what it stands for, so it is the same in every document and no dictionary is
+needed to name globally. What a symbol looks like depends on the words it covers and on few words around them (its
+context, carried along), so equal substrings get equal symbols wherever the context lies inside.
 
 Every window of `window` words chooses an anchor: a symbol of the highest round whose context lies inside the window,
 the one of the smallest hash. Equal windows choose equal anchors. The distinct anchors of each block of documents are
 exchanged with their smallest and largest documents; windows whose anchor is shared by two documents are then verified
-by a rolling hash of all their words, exchanged in the same way with the smallest document that holds each. A window that
-also starts in a document with a smaller doc_id is removed, i.e. its words are.
+by 128 bits, two rolling hashes of all their words over two 64-bit hashes of each word, exchanged in the same way with
+the smallest document that holds each. A window that also starts in a document with a smaller doc_id is removed, i.e. its
+words are.
 
 Runs are named in rounds 0 and 2 alone: naming runs makes the context grow by a symbol on either side, and later rounds
 would leave no symbol whose context fits into a window.
 
 Defined results: null and empty texts have no words; texts shorter than a window lose none; words inside one document or
-in repeated rows of one doc_id do not remove each other; rows with a null doc_id keep all words and remove none. The
-kept words are joined by one space. Extra columns are left out.
+in repeated rows of one doc_id do not remove each other; rows with a null doc_id keep all words and remove none; an empty
+table gives no rows. The kept words are joined by one space. Extra columns are left out.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomrank.llm.blocks import BLOCK_BYTES, Blocks, gathered, least_and_most, look_up, mixed, word_hashes
+from loomrank.llm.blocks import BLOCK_BYTES, Blocks, gathered, least_and_most, look_up, mixed
 from loomrank.llm.common import MULT, MULT2
 
 WINDOW = 50
@@ -117,9 +119,15 @@ def anchors(hashes: np.ndarray, owner: np.ndarray, n_docs: int, window: int) ->
     return starts, keys
 
 
-def window_hashes(hashes: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of the words of all texts, and the text of each word."""
+    lists = [t.split() if t else [] for t in texts]
+    both = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w) for ws in lists for w in ws), dtype="<u8").reshape(-1, 2)
+    return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1]), np.repeat(np.arange(len(texts), dtype=np.int32), [len(ws) for ws in lists])
+
+
+def window_hashes(hashes: np.ndarray, starts: np.ndarray, window: int, base: int) -> np.ndarray:
     """A rolling hash of the words of each window."""
-    base = int(MULT) * int(MULT2) % (1 << 64) | 1
     inverse = pow(base, -1, 1 << 64)
 
     def powers(of: int, n: int) -> np.ndarray:
@@ -132,62 +140,91 @@ def window_hashes(hashes: np.ndarray, starts: np.ndarray, window: int) -> np.nda
     return mixed((sums[starts + window] - sums[starts]) * powers(inverse, n)[starts])
 
 
+class Words:
+    """The words of a block's documents, with the document and the rolling hashes of each window."""
+
+    def __init__(self, ids: list, texts: list[bytes | None], window: int):
+        self.hashes, self.others, self.owner = word_hashes(texts)
+        self.ids, self.n_docs, self.window = ids, len(texts), window
+
+    def named(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The doc_id of each window, and whether it has one."""
+        number = np.array([0 if i is None else i for i in self.ids], dtype=np.int64)
+        return number[self.owner[starts]], np.array([i is not None for i in self.ids], dtype=bool)[self.owner[starts]]
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        return anchors(self.hashes, self.owner, self.n_docs, self.window)
+
+    def windows(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Key and check of each window."""
+        return (
+            window_hashes(self.hashes, starts, self.window, int(MULT) * int(MULT2) % (1 << 64) | 1),
+            window_hashes(self.others, starts, self.window, int(MULT) ^ int(MULT2) | 1).view(np.int64),
+        )
+
+
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text."""
     blocks = Blocks(docs, block_bytes)
 
-    def known(ids, owner, starts):
-        """The document of each window, and whether it has a doc_id."""
-        number = np.array([0 if i is None else i for i in ids], dtype=np.int64)[owner[starts]]
-        return number, np.array([i is not None for i in ids], dtype=bool)[owner[starts]]
-
-    def give_anchors(ids, texts, _):
-        hashes, owner = word_hashes(texts)
-        starts, keys = anchors(hashes, owner, len(texts), window)
-        number, has = known(ids, owner, starts)
+    def give_anchors(ids, texts):
+        words = Words(ids, texts, window)
+        starts, keys = words.anchors()
+        number, has = words.named(starts)
         change = np.concatenate([[True], (keys[1:] != keys[:-1]) | (number[1:] != number[:-1])]) & has if len(keys) else has
-        key, least, most = least_and_most(keys[change], number[change], number[change])
+        key, least, most, _ = least_and_most(keys[change], number[change], number[change])
         return key, [least, most - least]
 
-    def reduce(keys, values):
-        key, least, most = least_and_most(keys, values[0], values[0] + values[1])
+    def shared_anchors(keys, values):
+        key, least, most, _ = least_and_most(keys, values[0], values[0] + values[1])
         return key, least < most, [least]
 
     def give_windows(ids, texts, got):
         shared, _ = gathered(got)
-        hashes, owner = word_hashes(texts)
-        starts, keys = anchors(hashes, owner, len(texts), window)
-        number, has = known(ids, owner, starts)
+        if not len(shared):  # nothing to verify here
+            return shared, [shared.view(np.int64)] * 3
+        words = Words(ids, texts, window)
+        starts, keys = words.anchors()
+        number, has = words.named(starts)
         wanted = (look_up(shared, keys) >= 0) & has
-        key, least, most = least_and_most(window_hashes(hashes, starts[wanted], window), number[wanted], number[wanted])
-        return key, [least, most - least]
+        key, check = words.windows(starts[wanted])
+        key, least, most, check = least_and_most(key, number[wanted], number[wanted], check)
+        return key, [check, least, most - least]
+
+    def shared_windows(keys, values):
+        key, least, most, check = least_and_most(keys, values[1], values[1] + values[2], values[0])
+        return key, least < most, [check, least]
 
     def conclude(ids, texts, got):
         keys, values = gathered(got)
-        hashes, owner = word_hashes(texts)
-        n_docs = len(texts)
-        gone = np.zeros(len(hashes), dtype=bool)
-        if len(keys) and len(hashes) >= window:
-            starts = np.flatnonzero(owner[: len(owner) - window + 1] == owner[window - 1 :])
-            number, has = known(ids, owner, starts)
-            row = look_up(keys, window_hashes(hashes, starts, window))
-            later = starts[(row >= 0) & has & (values[0][row] < number)]
-            edge = np.bincount(later, minlength=len(hashes) + 1) - np.bincount(later + window, minlength=len(hashes) + 1)
+        lists = [t.split() if t else [] for t in texts]
+        size = np.array([len(ws) for ws in lists], dtype=np.int64)
+        removed = np.zeros(len(texts), dtype=np.int64)
+        gone = np.zeros(0, dtype=bool)
+        if len(keys):
+            words = Words(ids, texts, window)
+            owner, n = words.owner, len(words.owner)
+            starts = np.flatnonzero(owner[: n - window + 1] == owner[window - 1 :])
+            number, has = words.named(starts)
+            key, check = words.windows(starts)
+            row = look_up(keys, key, values[0], check)
+            later = starts[(row >= 0) & has & (values[1][row] < number)]
+            edge = np.bincount(later, minlength=n + 1) - np.bincount(later + window, minlength=n + 1)
             gone = np.cumsum(edge[:-1]) > 0
-        removed = np.bincount(owner, weights=gone, minlength=n_docs).astype(np.int64)
-        size = np.bincount(owner, minlength=n_docs)
+            removed = np.bincount(owner, weights=gone, minlength=len(texts)).astype(np.int64)
         begin, kept = 0, []
-        for text, n, all_words in zip(texts, removed.tolist(), size.tolist(), strict=True):
-            words = text.split() if text else []
-            if n:
-                words = [w for w, g in zip(words, gone[begin : begin + all_words].tolist(), strict=True) if not g]
-            begin += all_words
-            kept.append(b" ".join(words).decode("utf-8", "replace"))
+        for ws, n_gone in zip(lists, removed.tolist(), strict=True):
+            if n_gone:
+                keep = (~gone[begin : begin + len(ws)]).tolist()
+                kept.append(b" ".join(w for w, k in zip(ws, keep, strict=True) if k).decode("utf-8", "replace"))
+            else:
+                kept.append(b" ".join(ws).decode("utf-8", "replace"))
+            begin += len(ws)
         return {"doc_id": ids, "n_words": size, "n_removed": removed, "kept_text": kept}
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
-    shared = blocks.exchange(blocks.ask(give_anchors), reduce)
-    windows = blocks.exchange(blocks.ask(give_windows, shared), reduce)
+    shared = blocks.exchange(blocks.ask_first(give_anchors), shared_anchors)
+    windows = blocks.exchange(blocks.ask(give_windows, shared), shared_windows, checked=True)
     return blocks.finish(conclude, windows, schema, "doc_id long, n_words long, n_removed long, kept_text string")
 
 

@@ -28,6 +28,45 @@ def test_packed_keys_come_back():
         assert (row[-2:] == -1).all() and (keys[row[:-2]] == wanted[:-2]).all()
 
 
+def test_keys_that_differ_in_their_checks_alone():
+    keys, checks, docs = np.array([7, 5, 7, 7, 5], dtype=np.uint64), np.array([2, 1, 1, 2, 1]), np.array([10, 20, 30, 4, 50])
+    key, least, most, check = blocks.least_and_most(keys, docs, docs, checks)
+    assert (key.tolist(), check.tolist(), least.tolist(), most.tolist()) == ([5, 7, 7], [1, 1, 2], [20, 30, 4], [50, 30, 10])
+    wanted, by = np.array([7, 7, 5, 7, 6], dtype=np.uint64), np.array([2, 1, 1, 3, 1])
+    assert blocks.look_up(key, wanted, check, by).tolist() == [2, 1, 0, -1, -1]
+    assert blocks.places(key, wanted[:3], check, by[:3]).tolist() == [2, 1, 0]
+
+
+def test_blocks_are_even_whatever_the_rows(spark):
+    """Thousands of equal rows, with and without an id: no block and no group is larger than another."""
+    docs = spark.createDataFrame([(1, "same words here")] * 3000 + [(None, "same words here")] * 3000 + [(2, None)] * 10, "doc_id long, text string")
+    made = blocks.Blocks(docs, block_bytes=3000)
+    sizes = [len(blocks.unpack_docs(r.docs)[0]) for r in made.rows.collect()]
+    assert sum(sizes) == 6010 and max(sizes) <= 211 and len(sizes) >= 28
+    found = lm_scoring.score_corpus(docs, block_bytes=3000)
+    assert found.count() == 6010 and found.where("n_words = 3").select("score").distinct().count() == 1
+
+
+def test_rows_exchanged_grow_with_the_input(spark):
+    """The rows of the exchange are bounded by blocks times buckets, and the buckets by the partitions or the bytes."""
+    rows = []
+    for copies in (1, 2, 4):
+        docs = spark.range(400 * copies).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(1, 200), x -> concat('w', hash(id, x) % 5000))) as text")
+        made = blocks.Blocks(docs, block_bytes=20_000, bucket_bytes=10 << 20)
+        asked = made.ask_first(lambda ids, texts: lm_scoring.Grams(texts, 2, 2).ask())
+        rows.append(asked.count())
+    assert rows[2] < 5 * rows[0]
+
+
+def test_scratch_order_is_settled_before_numbering(spark, sf):
+    """Rows that come out of a shuffle are written before they are numbered."""
+    from loomrank.session import moves_rows, settled
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    assert not moves_rows(docs.where("doc_id > 3").union(docs)) and moves_rows(docs.distinct()) and moves_rows(docs.orderBy("doc_id"))
+    assert not moves_rows(settled(docs.distinct()))
+
+
 # ------------------------------------------------------------------ substrings
 
 
@@ -100,7 +139,7 @@ def test_anchors_are_few_and_shared():
 # ------------------------------------------------------------------ language model
 
 
-def plain_scores(docs, order=2, least=2, backoff=0.4):
+def plain_scores(docs, order=3, least=2, backoff=0.4):
     lists = [(d, WORD.findall(t or "")) for d, t in docs]
     count = Counter(tuple(ws[i : i + n]) for _, ws in lists for n in range(1, order + 1) for i in range(len(ws) - n + 1))
     total = sum(len(ws) for _, ws in lists)
@@ -115,12 +154,12 @@ def plain_scores(docs, order=2, least=2, backoff=0.4):
     out = []
     for d, ws in lists:
         logs = [math.log10(s(tuple(ws[max(0, i - order + 1) : i + 1]))) for i in range(len(ws))]
-        missed = sum(i >= 1 and count[tuple(ws[max(0, i - order + 1) : i + 1])] < least for i in range(len(ws)))
+        missed = sum(min(i, order - 1) >= 1 and count[tuple(ws[max(0, i - order + 1) : i + 1])] < least for i in range(len(ws)))
         out.append((d, len(ws), missed, round(sum(logs) / len(logs), 6) if logs else None))
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("order,block_bytes", [(2, 16 << 20), (3, 60_000)])
+@pytest.mark.parametrize("order,block_bytes", [(2, 16 << 20), (3, 60_000), (4, 200_000), (1, 60_000)])
 def test_scores(spark, sf, awkward, order, block_bytes):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").union(awkward.select("doc_id", "text"))
     expected = plain_scores([(r.doc_id, r.text) for r in docs.collect()], order)
@@ -132,10 +171,20 @@ def test_scores(spark, sf, awkward, order, block_bytes):
         assert a[3] == b[3] or abs(a[3] - b[3]) < 2e-6
 
 
+def test_scores_by_least_count(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
+    for least in (1, 3):
+        expected = plain_scores([(r.doc_id, r.text) for r in docs.collect()], 3, least)
+        found = lm_scoring.score_corpus(docs, least_count=least, block_bytes=30_000).collect()
+        for a, b in zip(sorted(found, key=lambda r: r.doc_id), sorted(expected), strict=True):
+            assert (a.doc_id, a.n_words, a.n_backoff) == b[:3] and (a.score is None) == (b[3] is None)
+            assert b[3] is None or abs(a.score - b[3]) < 2e-6
+
+
 def test_least_count_is_for_longer_ngrams(spark):
     docs = spark.createDataFrame([(1, "a b a")], "doc_id long, text string")
     row = lm_scoring.score_corpus(docs, least_count=3).first()
-    expected = np.log10([2 / 3, 0.4 / 3, 0.4 * 2 / 3]).mean()
+    expected = np.log10([2 / 3, 0.4 / 3, 0.4**2 * 2 / 3]).mean()
     assert row.n_backoff == 2 and abs(row.score - expected) < 1e-9
 
 
