@@ -10,14 +10,16 @@ all little-endian; the closing line feed is the writer's separator and part of t
 right by 15 bits and adds 0xA282EAD8 (fixed value of the common record format; the checksum here is zlib's CRC-32, as no
 CRC-32C is installed). A payload is: u8 null flag of doc_id, i64 doc_id, u32 number of ids, u8 width of an id (2 or 4),
 u8 packing (0 raw, 1 zstd), the ids. The index is a Parquet table (doc_id, file, offset, length, n_tokens), made from the
-files, by which single records can be fetched in any order.
+files; `read_record` fetches a single record by it, `fetch_records` any number in any order.
 
 Defined results: a null text is an empty one (the end id alone); a null doc_id sorts first; repeated rows are written as
-often as they come, equal doc_ids in the order of their texts; an empty table writes no record and reads back no row.
+often as they come; equal doc_ids come in the order of the first 64 characters of their texts, then in that of the input,
+and any number of them is spread over files; an empty table writes no record and reads back no row.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomrank.llm.common import bound_batches, chunks, give_back, scratch_path
+from loomrank.session import settled
 
 MASK_DELTA = 0xA282EAD8
 HEAD = struct.Struct("<QI")
@@ -80,28 +83,44 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
     return None if null else doc_id, np.frombuffer(raw, dtype=f"<u{width}", count=n).astype("<u4")
 
 
+#: The pattern by which a tokenizer of the kind that `WordEncoder` splits finds its pieces (fixed value of its file).
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def splits_at_space(description: dict) -> bool:
+    """Whether a tokenizer, by its own description, lowers its input, drops white space, and joins nothing across it."""
+    steps = (description.get("normalizer") or {}).get("normalizers") or []
+    form = [(x["type"], x.get("pattern"), x.get("content")) for x in steps]
+    cuts = ((description.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    return (
+        form == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)]
+        and (cuts.get("type"), cuts.get("pattern"), cuts.get("behavior"), cuts.get("invert")) == ("Split", {"Regex": PIECES}, "Removed", True)
+        and not description.get("post_processor")
+        and not any(x["lstrip"] or x["rstrip"] or x["single_word"] or " " in x["content"] for x in description["added_tokens"])
+    )
+
+
 class WordEncoder:
     """encode() of the tokenizers library for whole texts, each distinct chunk between spaces encoded once.
 
     For a tokenizer that lowers its input, drops white space and never joins text across it (`splits_at_space`), the ids
-    of a text are the ids of its chunks in order, and a full stop or comma between a letter or digit and white space is
-    a chunk of its own. So the memory of chunks seen so far gives the same ids as encoding the text at once. New chunks are
+    of a text are the ids of its chunks in order, and a full stop or comma between an ASCII letter or digit and white space
+    is a chunk of its own. So the memory of chunks seen so far gives the same ids as encoding the text at once. New chunks are
     encoded together, with a mark between them that has one id of its own. At `most` chunks the memory is cut down to
     those met often. A tokenizer of another kind encodes each text as a whole.
     """
 
     MARK = "~"
-    DOTTED = "\u0130"  # the one letter that ends in a mark when lowered
-    FIXED = r"[A-Z]\pM|<\|"
-    POINT = r"([\pL\pN])([.,])([ \n])"
+    FIXED = r"[A-Z][^\x00-\x7F\pL]|<\|"
+    POINT = r"([A-Za-z0-9])([.,])([ \n])"
 
-    def __init__(self, path: str, splits_at_space: bool, most: int = 320_000):
+    def __init__(self, path: str, most: int = 320_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
-        self.splits_at_space, self.most = splits_at_space, most
+        self.splits_at_space, self.most = splits_at_space(json.loads(self.tokenizer.to_str())), most
         self.mark = self._ids(self.MARK)
         self._keep([], np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
 
@@ -146,12 +165,12 @@ class WordEncoder:
             return [np.array([*x.ids, end_id], dtype=np.uint32) for x in found]
         if len(self.index) > self.most:
             self._shrink()
-        # Fewer chunks: A-Z are lowered here, where that changes nothing. A letter before a combining mark may compose with it
-        # only when lowered, and a special token's name must not come about; all other letters are left to the tokenizer.
+        # Fewer chunks: A-Z are lowered here, where that changes nothing. A letter before what may be a combining mark may
+        # compose with it only when lowered, and a special token's name must not come about; all other letters are left to
+        # the tokenizer.
         forms = pa.array(texts, pa.large_string())
         forms = pc.if_else(pc.match_substring_regex(forms, self.FIXED), forms, pc.ascii_lower(forms))
         apart = pc.replace_substring_regex(forms, self.POINT, r"\1 \2\3")
-        apart = pc.if_else(pc.match_substring(forms, self.DOTTED), forms, apart)
         split = pc.split_pattern(pc.replace_substring(apart, "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
@@ -172,25 +191,27 @@ class WordEncoder:
         return [np.concatenate([ids[a:b], end]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
-_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
+_ENCODERS: dict[str, WordEncoder] = {}
 
 
-def encoder(path: str, splits_at_space: bool) -> WordEncoder:
+def encoder(path: str) -> WordEncoder:
     """One encoder for each Python worker, shared by the tasks it runs; nothing but speed depends on its memory."""
-    key = (path, splits_at_space)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(path, splits_at_space)
-    return _ENCODERS[key]
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
-def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, splits_at_space: bool = True, file_bytes: int = 24 << 20) -> None:
-    """Write docs(doc_id, text) as record files under path, in ascending order of doc_id over the sorted file names."""
+def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, file_bytes: int = 128 << 20, least_bytes: int = 24 << 20) -> None:
+    """Write docs(doc_id, text) as record files under path, in ascending order of doc_id over the files' numbers. A file takes
+    about file_bytes of text; of a small input it takes less, down to least_bytes, so that every core has some."""
     bound_batches(docs.sparkSession)
+    docs = settled(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // file_bytes))
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, -(-total // min(file_bytes, max(least_bytes, total // (6 * cores)))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, packer = encoder(tokenizer_path, splits_at_space), zstandard.ZstdCompressor(level=1)
+        coder, packer = encoder(tokenizer_path), zstandard.ZstdCompressor(level=1)
         for part in chunks(batches, "text", 4 << 20):
             ids = part.column(0).to_pylist()
             texts = [t or "" for t in part.column(1).to_pylist()]
@@ -198,7 +219,9 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
         give_back()
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", "head", "row"]  # the row number lets equal rows be cut
+    numbered = docs.select("doc_id", "text", F.substring("text", 1, 64).alias("head"), F.monotonically_increasing_id().alias("row"))
+    ordered = numbered.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
     ordered.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.option("compression", "none").text(path)
 
 
@@ -220,12 +243,57 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").mapInArrow(run, READ_SCHEMA)
 
 
+def read_record(spark: SparkSession, path: str, file: str, offset: int, length: int) -> tuple[int | None, np.ndarray]:
+    """The doc_id and ids of the record at this place of the index, from any store that Spark can read; nothing else of the
+    file is read. Raises ValueError where a length or checksum is wrong."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(f"{path}/{file}")
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    try:
+        stream.seek(offset)
+        data = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, length))
+    finally:
+        stream.close()
+    ((_, payload),) = frames(data)
+    return unpack(payload)
+
+
+def fetch_records(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """(place, doc_id, ids) for wanted(place, file, offset, length), rows of the index in the order of `place`: a shuffled
+    epoch, say. Each file that is asked for is read once, by one task, whatever the order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content, asked in zip(batch.column(0), batch.column(1), strict=True):
+                data, rows = memoryview(content.as_buffer()), []
+                for x in asked.as_py():
+                    ((_, payload),) = frames(bytes(data[x["offset"] : x["offset"] + x["length"]]))
+                    rows.append((x["place"], *unpack(payload)))
+                place, ids, tokens = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(ids, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))], names=["place", "doc_id", "ids"])
+
+    asked = wanted.groupBy("file").agg(F.collect_list(F.struct("place", "offset", "length")).alias("asked"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").join(asked, "file").select("content", "asked")
+    return named.mapInArrow(run, "place long, doc_id long, ids array<long>").orderBy("place")
+
+
+#: Files whose sums are taken together before sums of sums are.
+FILES_TOGETHER = 1024
+
+
 def with_starts(records: DataFrame) -> DataFrame:
-    """Adds start, the ids of all records before each one. Only one row for each file meets in a single task."""
-    files = records.groupBy("file").agg(F.sum("n_tokens").alias("n"))
-    ahead = files.select("file", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
-    inside = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
-    return records.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(ahead, "file").withColumn("start", F.col("ahead") + F.col("inside")).drop("ahead", "inside")
+    """Adds start, the ids of all records before each one, files in the order of their numbers. One row for each group of
+    files meets in a single task."""
+    before = Window.unboundedPreceding, -1
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
+    files = records.groupBy("file").agg(F.sum("n_tokens").alias("n")).withColumn("number", number).withColumn("batch", F.expr(f"number div {FILES_TOGETHER}"))
+    groups = files.groupBy("batch").agg(F.sum("n").alias("n"))
+    groups = groups.select("batch", F.coalesce(F.sum("n").over(Window.orderBy("batch").rowsBetween(*before)), F.lit(0)).alias("first"))
+    inner = F.coalesce(F.sum("n").over(Window.partitionBy("batch").orderBy("number").rowsBetween(*before)), F.lit(0))
+    ahead = files.withColumn("inner", inner).join(groups, "batch").select("file", (F.col("first") + F.col("inner")).alias("ahead"))
+    inside = F.coalesce(F.sum("n_tokens").over(Window.partitionBy("file").orderBy("offset").rowsBetween(*before)), F.lit(0))
+    return records.withColumn("inside", inside).join(ahead, "file").withColumn("start", F.col("ahead") + F.col("inside")).drop("ahead", "inside")
 
 
 def token_records(docs: DataFrame, tokenizer_path: str, path: str | None = None, **options) -> DataFrame:

@@ -8,6 +8,10 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from loomrank.llm import line_dedup, mixing, quality_rules, sharding, token_records
 
@@ -110,7 +114,7 @@ def test_token_records_equal_whole_text_encoding(spark, sf, awkward):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
         expected.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
         start += len(ids)
-    found = token_records.token_records(docs, token_records.vocabulary(), file_bytes=200_000)
+    found = token_records.token_records(docs, token_records.vocabulary(), file_bytes=200_000, least_bytes=200_000)
     got = sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in found.collect()), key=lambda x: x[1])
     assert got == expected
     assert len({r.file for r in found.collect()}) > 1
@@ -128,6 +132,69 @@ def test_lowering_is_left_to_the_tokenizer(spark):
         assert got[i] == zlib.crc32(np.array(ids, dtype="<u4").tobytes()), text
 
 
+ODD = st.sampled_from([*"aAbZ.,'~ \n\t", "\u03a3", "\u0130", "\u0131", "\u030c", "\u0323", "\u0301", "\u00a0", "\u2003", "\x1c", "\x85", "\u00c9", "J", "\u1e9e", "\u01c5", "\u212a", "<|endoftext|>", "<|ENDOFTEXT|>",
+                       "<|startoftext|>", "'s ", "it's. ", "\U0001f600", "7", "\u0660", "\u4e2d", "\u00df. ", "\u0130. ", "e\u0301, ", "\u20dd", "\u0345 "])
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.lists(st.one_of(ODD, ODD, ODD, st.text(max_size=2)), max_size=12).map("".join), min_size=1, max_size=6))
+def test_ids_are_those_of_whole_texts(texts):
+    """Final sigma, letters that grow when lowered, combining marks, special tokens and all kinds of white space."""
+    coder = token_records.encoder(token_records.vocabulary())
+    assert coder.splits_at_space
+    for text, ids in zip(texts, coder.encode(texts, 2), strict=True):
+        assert ids.tolist() == [*coder.tokenizer.encode(text, add_special_tokens=False).ids, 2], ascii(text)
+
+
+def test_other_tokenizers_encode_whole_texts():
+    coder = token_records.WordEncoder(token_records.vocabulary("byte_bpe_50k.json"))
+    assert not coder.splits_at_space
+    texts = ["two  words\n\n and more.", "", " x"]
+    assert [x.tolist() for x in coder.encode(texts, 9)] == [[*coder.tokenizer.encode(t, add_special_tokens=False).ids, 9] for t in texts]
+
+
+def test_a_full_memory_changes_no_ids():
+    coder = token_records.WordEncoder(token_records.vocabulary(), most=50)
+    for i in range(20):
+        text = " ".join(f"word{j}x{i % 3}, The End." for j in range(i, i + 30))
+        assert coder.encode([text], 2)[0].tolist() == [*coder.tokenizer.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_starts_follow_the_numbers_of_files(spark):
+    """Names on both sides of 100,000, where the order of names as text is another one."""
+    numbers = [0, 7, 9_999, 10_001, 99_999, 100_000, 100_001, 1_000_000]
+    rows = [(f"part-{n:05d}-abc-c000.txt", at, n + at) for n in numbers for at in (0, 50, 1000)]
+    found = {(r.file, r.offset): r.start for r in token_records.with_starts(spark.createDataFrame(rows[::-1], "file string, offset long, n_tokens long")).collect()}
+    start = 0
+    for file, at, n in rows:
+        assert found[file, at] == start
+        start += n
+
+
+def test_records_are_fetched_in_any_order(spark, sf, awkward, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").union(awkward.select("doc_id", "text"))
+    index = token_records.token_records(docs, token_records.vocabulary(), str(tmp_path / "r"), file_bytes=100_000, least_bytes=100_000)
+    wanted = index.where("doc_id IS NOT NULL").select("doc_id", "file", "offset", "length", "n_tokens", "ids_crc32", F.xxhash64("file", "offset").alias("key"))
+    wanted = wanted.withColumn("place", F.row_number().over(Window.orderBy("key")).cast("long"))
+    rows = wanted.orderBy("place").collect()
+    got = token_records.fetch_records(spark, str(tmp_path / "r/records"), wanted).collect()
+    assert [(r.place, r.doc_id, len(r.ids), zlib.crc32(np.array(r.ids, dtype="<u4").tobytes())) for r in got] == [(r.place, r.doc_id, r.n_tokens, r.ids_crc32) for r in rows]
+    for r in rows[:7]:
+        doc_id, ids = token_records.read_record(spark, str(tmp_path / "r/records"), r.file, r.offset, r.length)
+        assert (doc_id, zlib.crc32(ids.tobytes())) == (r.doc_id, r.ids_crc32)
+    with pytest.raises(ValueError):
+        token_records.read_record(spark, str(tmp_path / "r/records"), rows[0].file, rows[0].offset + 1 if rows[0].offset else 1, 40)
+
+
+def test_equal_rows_are_spread_over_files(spark):
+    docs = spark.createDataFrame([(None, "same text again")] * 4000 + [(5, "x")], "doc_id long, text string")
+    found = token_records.token_records(docs, token_records.vocabulary(), file_bytes=8000, least_bytes=8000)
+    sizes = [r["count"] for r in found.groupBy("file").count().collect()]
+    assert sum(sizes) == 4001 and len(sizes) > 4 and max(sizes) < 1500
+    starts = sorted((r.start, r.n_tokens) for r in found.collect())
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+
+
 def test_frames_notice_damage():
     data = token_records.frame(b"abc") + b"\n" + token_records.frame(b"") + b"\n"
     assert [p for _, p in token_records.frames(data)] == [b"abc", b""]
