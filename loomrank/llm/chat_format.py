@@ -1,9 +1,15 @@
 """Chat formatting of reply trees.
 
-Messages are nodes (tree_id, node_id, parent_id, role, text, score). Root-to-leaf paths are enumerated by self-joins that
-double their reach: round k joins every (leaf, ancestor) pair found so far with the ancestor 2^k steps up, so a thread of
-n turns takes log2(n) rounds, and no more rows are made than the paths have. Paths of a tree are ranked by the sum of
-their scores, and each chosen path becomes one conversation with the spans of its loss mask.
+Messages are nodes (tree_id, node_id, parent_id, role, text, score). Iterative self-joins enumerate root-to-leaf paths:
+
+1. every node's pointer to an ancestor is doubled in reach round by round (one row a node), until all pointers that can
+   have come past a root; that gives each node its depth and the sum of scores of its path. A round that brings none
+   there ends it: whatever is left hangs on a circle and is passed over;
+2. the branches of each tree, one row a leaf, are ranked by that sum, and those not wanted go before any path is made;
+3. (leaf, ancestor) pairs double their reach by the same pointers, in as many rounds as before. No more rows are made
+   than the chosen paths have. A tree of one branch needs none of this: its path is all of it.
+
+Each chosen path becomes one conversation with the spans of its loss mask.
 
 Template: `<|im_start|>role\\ntext<|im_end|>\\n` for each turn. In texts and roles every backslash is doubled and every
 control string gets a backslash after its first character, so no control string of this or of other common templates
@@ -11,9 +17,9 @@ is left inside a turn, and taking the backslashes back gives the very text. A li
 string of its own.
 
 Defined results: null texts and roles are empty; a null score is 0; nodes with a null tree_id or node_id are left out; of
-nodes with equal ids the smallest (parent_id, role, text, score) counts; a parent that does not exist makes a root; nodes
-whose parents form a circle have no path. Equal scores rank the longer path first, then the smaller leaf. No messages
-give no rows. Extra columns are left out.
+nodes with equal ids the smallest (parent_id, role, text, score) counts; a parent that does not exist makes a root, and so
+does a node that is its own parent; nodes whose parents form a circle of two or more, and all below them, have no path.
+Equal scores rank the longer path first, then the smaller leaf. No messages give no rows. Extra columns are left out.
 """
 
 from __future__ import annotations
@@ -35,7 +41,6 @@ CONTROLS = (
     "<|begin_of_text|>", "<|end_of_text|>", "<|start_header_id|>", "<|end_header_id|>", "<|eot_id|>", "<|system|>", "<|user|>", "<|assistant|>", "<|end|>",
 )
 LOSS_ROLES = ("assistant",)
-TURNS = "array<struct<pos:int,role:string,text:string>>"
 SPANS = "array<struct<start:bigint,length:bigint>>"
 
 
@@ -77,24 +82,62 @@ def parse_turns(formatted: str) -> list[tuple[str, str]]:
     return out
 
 
-def paths(messages: DataFrame) -> DataFrame:
-    """(tree_id, leaf_id, node_id, pos): the nodes of each root-to-leaf path, pos from 0 at the root."""
-    links = written(messages.select("tree_id", "node_id", "parent_id"), "reply-links")
-    real = links.select("tree_id", F.col("node_id").alias("parent_id"))
-    jump = written(links.join(real, ["tree_id", "parent_id"]).select("tree_id", "node_id", F.col("parent_id").alias("up")), "reply-jumps")
-    roots = links.select("tree_id", "node_id").exceptAll(jump.select("tree_id", "node_id"))
-    inner = jump.select("tree_id", F.col("up").alias("node_id")).distinct()
-    reach = links.join(inner, ["tree_id", "node_id"], "left_anti").select("tree_id", F.col("node_id").alias("leaf_id"), "node_id", F.lit(0).cast("long").alias("dist"))
-    reach = written(reach, "reply-reach")
-    step, n = 1, links.count()
-    while step <= n and not jump.isEmpty():
-        farther = reach.join(jump, ["tree_id", "node_id"]).select("tree_id", "leaf_id", F.col("up").alias("node_id"), (F.col("dist") + F.lit(step)).alias("dist"))
-        reach = written(reach.union(farther), "reply-reach")
-        second = jump.select("tree_id", F.col("node_id").alias("up"), F.col("up").alias("up2"))
-        jump = written(jump.join(second, ["tree_id", "up"]).select("tree_id", "node_id", F.col("up2").alias("up")), "reply-jumps")
-        step *= 2
-    ended = reach.join(roots, ["tree_id", "node_id"]).select("tree_id", "leaf_id", F.col("dist").alias("last"))
-    return reach.join(ended, ["tree_id", "leaf_id"]).select("tree_id", "leaf_id", "node_id", (F.col("last") - F.col("dist")).cast("int").alias("pos"))
+NODE = ["tree_id", "node_id"]
+
+
+def pointers(messages: DataFrame) -> list[DataFrame]:
+    """Tables (tree_id, node_id, up, dist, sum): in table k, up is the ancestor 2^k steps above the node, dist 2^k, and sum
+    that of the scores of the nodes passed. Where there is no such ancestor up is null, dist the number of nodes down from
+    the root to the node, and sum that of them all. In the last table, up is null but for nodes on or below a circle."""
+    real = messages.select("tree_id", F.col("node_id").alias("parent_id"), F.lit(True).alias("real"))
+    linked = messages.where("parent_id <> node_id").join(real, ["tree_id", "parent_id"], "left_semi").select(*NODE, F.col("parent_id").alias("up"))
+    first = messages.select(*NODE, F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("sum")).join(linked, NODE, "left")
+    tables = [written(first.select(*NODE, "up", F.lit(1).cast("long").alias("dist"), "sum"), "reply-pointers")]
+    left, before = tables[0].where("up IS NOT NULL").count(), None
+    while left and left != before:
+        now = tables[-1]
+        above = now.select("tree_id", F.col("node_id").alias("up"), F.col("up").alias("up2"), F.col("dist").alias("dist2"), F.col("sum").alias("sum2"))
+        more = now.where("up IS NOT NULL").join(above, ["tree_id", "up"]).select(*NODE, F.col("up2").alias("up"), (F.col("dist") + F.col("dist2")).alias("dist"), (F.col("sum") + F.col("sum2")).alias("sum"))
+        tables.append(written(now.where("up IS NULL").union(more), "reply-pointers"))
+        left, before = tables[-1].where("up IS NOT NULL").count(), left
+    return tables
+
+
+def ranks(leaves: DataFrame) -> DataFrame:
+    """leaves with branch_rank, their place in the tree. A tree's leaves are cut into ranges, so that none of them is
+    ranked by a single task; a range's leaves rank behind those of the tree in ranges before it."""
+    order = ["tree_id", F.desc("branch_score"), F.desc("n_turns"), "leaf_id"]
+    parts = int(leaves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(leaves.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "reply-leaves")
+    counts = dealt.groupBy("tree_id", "part").agg(F.count("*").alias("n"))
+    ahead = F.sum("n").over(Window.partitionBy("tree_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.row_number().over(Window.partitionBy("tree_id", "part").orderBy(*order[1:]))
+    counts = counts.select("tree_id", "part", F.coalesce(ahead, F.lit(0)).alias("ahead"))
+    return dealt.withColumn("inside", inside).join(counts, ["tree_id", "part"]).withColumn("branch_rank", (F.col("ahead") + F.col("inside")).cast("int")).drop("part", "inside", "ahead")
+
+
+def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
+    """(tree_id, leaf_id, branch_rank, branch_score, node_id, pos): the nodes of the `branches` best root-to-leaf paths of each
+    tree (None: all), pos from 1 at the root."""
+    tables = pointers(messages)
+    rooted = tables[-1].where("up IS NULL").select(*NODE, F.col("dist").alias("pos"), "sum")
+    inner = tables[0].where("up IS NOT NULL").select("tree_id", F.col("up").alias("node_id")).distinct()
+    leaves = rooted.join(inner, NODE, "left_anti").select("tree_id", F.col("node_id").alias("leaf_id"), F.col("pos").alias("n_turns"), F.col("sum").alias("branch_score"))
+    chosen = ranks(leaves)
+    if branches is not None:
+        chosen = chosen.where(F.col("branch_rank") <= branches)
+    alone = leaves.groupBy("tree_id").agg(F.count("*").alias("n")).where("n = 1").select("tree_id")
+    best = written(chosen.join(alone.withColumn("alone", F.lit(True)), "tree_id", "left").select("tree_id", "leaf_id", "branch_rank", "branch_score", F.coalesce("alone", F.lit(False)).alias("alone")), "reply-branches")
+    names = ["tree_id", "leaf_id", "branch_rank", "branch_score"]
+    on_path = rooted.join(best.where("alone").select(*names), "tree_id").select(*names, "node_id", "pos")
+    forked = best.where("not alone")
+    if forked.isEmpty():
+        return on_path
+    reach = forked.select("tree_id", "leaf_id", F.col("leaf_id").alias("node_id"))
+    for table in tables:
+        jump = table.where("up IS NOT NULL").select(*NODE, "up")
+        reach = written(reach.union(reach.join(jump, NODE).select("tree_id", "leaf_id", "up")), "reply-reach")
+    return on_path.union(reach.join(rooted.select(*NODE, "pos"), NODE).join(forked.select(*names), ["tree_id", "leaf_id"]).select(*names, "node_id", "pos"))
 
 
 def conversations_of(messages: DataFrame, branches: int | None = None) -> DataFrame:
@@ -104,13 +147,9 @@ def conversations_of(messages: DataFrame, branches: int | None = None) -> DataFr
     first = F.min(F.struct("parent_id", "role", "text", "score")).alias("m")
     nodes = messages.where("tree_id IS NOT NULL AND node_id IS NOT NULL").groupBy("tree_id", "node_id").agg(first).select("tree_id", "node_id", "m.*")
     nodes = written(nodes, "messages")
-    on_path = paths(nodes).join(nodes.select("tree_id", "node_id", "role", "text", "score"), ["tree_id", "node_id"])
+    on_path = paths(nodes, branches).join(nodes.select(*NODE, "role", "text"), NODE)
     turn = F.struct("pos", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    whole = on_path.groupBy("tree_id", "leaf_id").agg(F.sum(F.coalesce("score", F.lit(0.0))).alias("branch_score"), F.array_sort(F.collect_list(turn)).alias("turns"))
-    order = Window.partitionBy("tree_id").orderBy(F.desc("branch_score"), F.desc(F.size("turns")), "leaf_id")
-    ranked = whole.withColumn("branch_rank", F.row_number().over(order))
-    if branches is not None:
-        ranked = ranked.where(F.col("branch_rank") <= branches)
+    ranked = on_path.groupBy("tree_id", "leaf_id").agg(F.min("branch_rank").alias("branch_rank"), F.min("branch_score").alias("branch_score"), F.array_sort(F.collect_list(turn)).alias("turns"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,7 +159,7 @@ def conversations_of(messages: DataFrame, branches: int | None = None) -> DataFr
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([f for f, _ in done], pa.string()), pa.array(spans, kind)], names=["tree_id", "leaf_id", "branch_rank", "branch_score", "formatted", "loss_spans"])
 
     ids = ", ".join(f"{n} {ranked.schema[n].dataType.simpleString()}" for n in ("tree_id", "leaf_id"))
-    chosen = ranked.select("tree_id", "leaf_id", "branch_rank", F.col("branch_score").cast("double"), "turns")
+    chosen = ranked.select("tree_id", "leaf_id", "branch_rank", "branch_score", "turns")
     return chosen.mapInArrow(run, f"{ids}, branch_rank int, branch_score double, formatted string, loss_spans {SPANS}")
 
 

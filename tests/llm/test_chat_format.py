@@ -56,6 +56,43 @@ def test_trees(spark):
     assert cf.conversations_of(frame.where("false")).count() == 0
 
 
+def test_circles_cost_nothing(spark):
+    """Nodes that are their own parents are roots; a long tail below a circle makes no rows; rows are those of the paths."""
+    rows = [(1, i, i - 1 if i else None, 1.0) for i in range(400)]  # one long thread
+    rows += [(2, 0, 0, 1.0), *((2, i, 0, float(i % 3)) for i in range(1, 11))]  # a self-parent with ten replies
+    rows += [(3, 0, 1, 1.0), (3, 1, 0, 1.0), *((3, i, i - 1, 1.0) for i in range(2, 300))]  # a tail below a circle
+    rows += [(4, i, i - 1 if i else None, 1.0) for i in range(100)] + [(4, 1000 + i, i, 0.0) for i in range(100)]  # a caterpillar
+    frame = spark.createDataFrame([(t, n, p, "user", f"{t}-{n}", s) for t, n, p, s in rows], "tree_id long, node_id long, parent_id long, role string, text string, score double")
+    parent = {(t, n): p for t, n, p, _ in rows}
+    inner = {(t, p) for (t, n), p in parent.items() if p != n}
+    expected = {}
+    for t, n in parent:
+        if t != 3 and (t, n) not in inner:
+            path, at = [], n
+            while at is not None:
+                path.append(at)
+                at = parent[t, at] if parent[t, at] != at else None
+            expected[t, n] = path[::-1]
+    found = {}
+    made = cf.paths(frame).collect()
+    for r in made:
+        found.setdefault((r.tree_id, r.leaf_id), {})[r.pos] = r.node_id
+    assert {k: [v[i] for i in sorted(v)] for k, v in found.items()} == expected
+    assert len(made) == sum(map(len, expected.values()))
+    few = cf.paths(frame, 2)
+    assert few.count() == 400 + 2 * 2 + len(expected[4, 1099]) + len(expected[4, 1098])
+    best = {(r.tree_id, r.leaf_id): r.branch_rank for r in few.collect()}
+    assert best == {(1, 399): 1, (2, 2): 1, (2, 5): 2, (4, 1099): 1, (4, 1098): 2}
+
+
+def test_ranks_of_one_large_tree(spark):
+    """A star of many leaves is ranked in ranges, ties by the leaf."""
+    frame = spark.range(3000).selectExpr("1L as tree_id", "id as node_id", "if(id = 0, null, 0L) as parent_id", "'user' as role", "'x' as text", "double(id % 7) as score")
+    found = {r.leaf_id: r.branch_rank for r in cf.paths(frame).where("pos = 2").collect()}
+    expected = sorted(range(1, 3000), key=lambda i: (-(i % 7), i))
+    assert [found[i] for i in expected] == list(range(1, 3000))
+
+
 def test_threads_of_awkward_rows(spark):
     rows = [(1, 5, "user", "late"), (1, 1, "user", None), (1, 1, "user", None), (1, None, "system", "first"), (None, 1, "user", "lost"), (2, 0, None, ""), (3, 0, "assistant", "x" * 200_000)]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
