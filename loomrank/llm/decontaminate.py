@@ -11,16 +11,24 @@ with it, all of them on diagonals (document position minus item position) that l
    stands in the region as it is has distance 0.
 
 The budget is `errors` (a share) of the item's length. An item too short for the lemma at that share gets the largest
-budget it allows. Documents never move: the items go to them, in blocks of at most `block_bytes`, one pass for each block
-of a large benchmark. Whole texts are read; items are never sampled or cut.
+budget it allows, and one of under `least` bytes is searched as it is, between word bounds. Documents never move: the items
+go to them, in blocks of at most `block_bytes`, one pass for each block of a large benchmark. Whole texts are read; items
+are never sampled or cut.
+
+Matches are held `MOST_PAIRS` at a time. Documents that have more together are taken apart, then the items of one document,
+and then the document for a single item, in pieces that overlap by the longest region an item can have, so that every
+region lies whole in one of them. A piece that still has more, of a text and an item that both repeat a few q-grams all
+along, is aligned without the filter.
 
 Defined results: null and empty texts have no hit; items that are null or empty after normalising are passed over; items
-without an item_id are searched by `drop_leaks`, and left out of `leaks`, which could not name them; repeated rows each get the same hits, repeated items are one item (the smallest item_id); an empty
-benchmark leaves everything clean. Rows with a null doc_id are judged like others. Extra columns stay in `drop_leaks`.
+without an item_id are searched by `drop_leaks`, and left out of `leaks`, which could not name them; repeated rows each get
+the same hits, repeated items are one item (the smallest item_id); an empty benchmark leaves everything clean. Rows with a
+null doc_id are judged like others (the query brings them together in one row). Extra columns stay in `drop_leaks`.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -30,13 +38,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomrank.llm.common import as_bytes, bound_batches, chunks, give_back, spread
+from loomrank.llm.common import MULT, as_bytes, bound_batches, chunks, give_back, spread
 
 Q = 8
 ERRORS = 0.1
 LEAST = 32
-TABLE_BITS = 20
 BLOCK_BYTES = 4 << 20
+MOST_PAIRS = 1 << 20
 BASE = 1 << 40  # makes diagonals positive
 SEPARATOR = b"\n"  # no normalised text holds one
 
@@ -86,8 +94,16 @@ def codes(data: bytes) -> np.ndarray:
     return np.ndarray((len(data) - Q + 1,), dtype="<u8", buffer=data, strides=(1,))
 
 
-def slot(grams: np.ndarray) -> np.ndarray:
-    return (grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)
+def slot(grams: np.ndarray, table: int) -> np.ndarray:
+    """Places in a table of so many entries, a power of two."""
+    return (grams * MULT) >> np.uint64(65 - table.bit_length())
+
+
+def table_of(grams: np.ndarray) -> np.ndarray:
+    """A table of hashed q-grams, so large that it lets at most an eighth of others pass."""
+    table = np.zeros(1 << max(16, (8 * len(grams)).bit_length()), dtype=bool)
+    table[slot(grams, len(table))] = True
+    return table
 
 
 #: Bytes that belong to words: letters, digits, and all of multi-byte characters.
@@ -112,9 +128,7 @@ def prepare_brief(texts: list[bytes], at: list[int]) -> list[Brief]:
         offsets = [*range(Q, n - Q, Q), n - Q] if n > Q else []
         rest = np.array([codes(texts[i])[offsets] if offsets else [] for i in items], dtype=np.uint64).reshape(len(items), -1)
         left, right = (np.array([WORDY[texts[i][k]] for i in items]) for k in (0, -1))
-        table = np.zeros(1 << TABLE_BITS, dtype=bool)
-        table[slot(heads)] = True
-        out.append(Brief(n, np.array(items)[order], heads[order], rest[order], offsets, left[order], right[order], table))
+        out.append(Brief(n, np.array(items)[order], heads[order], rest[order], offsets, left[order], right[order], table_of(heads)))
     return out
 
 
@@ -127,7 +141,7 @@ def brief_hits(data: bytes, begins: np.ndarray, items: Items) -> Iterator[tuple[
     grams = codes(data)
     for b in items.brief:
         heads = heads_of(data, b.length)
-        at = np.flatnonzero(b.table[slot(heads)])
+        at = np.flatnonzero(b.table[slot(heads, len(b.table))])
         first = np.searchsorted(b.heads, heads[at], side="left")
         n = np.searchsorted(b.heads, heads[at], side="right") - first
         where = np.repeat(at, n)
@@ -147,15 +161,13 @@ def brief_hits(data: bytes, begins: np.ndarray, items: Items) -> Iterator[tuple[
 def prepare(ids: list[int], texts: list[bytes], errors: float, brief_below: int = LEAST) -> Items:
     brief = prepare_brief(texts, [i for i, t in enumerate(texts) if len(t) < max(brief_below, Q)])
     parts = [codes(t) if len(t) >= max(brief_below, Q) else codes(b"") for t in texts]
-    owner = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
-    spot = np.concatenate([np.arange(len(p)) for p in parts]) if parts else np.zeros(0, dtype=np.int64)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(p) for p in parts])
+    spot = np.concatenate([np.arange(len(p), dtype=np.int32) for p in parts]) if parts else np.zeros(0, dtype=np.int32)
     grams = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
     order = np.argsort(grams, kind="stable")
-    table = np.zeros(1 << TABLE_BITS, dtype=bool)
-    table[slot(grams)] = True
     allowed = np.array([budget(len(t), errors) for t in texts], dtype=np.int64)
     least = np.array([len(t) - Q + 1 for t in texts], dtype=np.int64) - allowed * Q
-    return Items(ids, texts, table, grams[order], owner[order], spot[order], least, allowed, brief)
+    return Items(ids, texts, table_of(grams), grams[order], owner[order], spot[order], least, allowed, brief)
 
 
 def banded_distance(item: bytes, region: bytes, low: int, high: int, most: int) -> int | None:
@@ -183,22 +195,12 @@ def banded_distance(item: bytes, region: bytes, low: int, high: int, most: int)
     return best if best <= most else None
 
 
-def hits(data: bytes, begins: np.ndarray, items: Items) -> Iterator[tuple[int, int, int, int]]:
-    """(document, item, distance, position) of verified regions; data holds documents joined by separators, begins their
-    first bytes. At most one, the best, for each document, item and band."""
-    grams = codes(data)
-    at = np.flatnonzero(items.table[slot(grams)])
-    if not len(at):
-        return
-    found = grams[at]
-    first = np.searchsorted(items.grams, found, side="left")
-    last = np.searchsorted(items.grams, found, side="right")
-    n = last - first
-    if not n.any():
-        return
-    rows = np.repeat(np.arange(len(at)), n)
-    entry = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n) + first[rows]
-    where, item, spot = at[rows], items.owner[entry], items.spot[entry]
+def candidates(where: np.ndarray, first: np.ndarray, n: np.ndarray, begins: np.ndarray, items: Items, entries: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[int, int, int]]:
+    """(document, item, band) of the bands with enough common q-grams, in ascending order. where: positions; first, n: the run
+    of matching entries (owner, spot) of each."""
+    owner, spots = entries
+    entry = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+    where, item, spot = np.repeat(where, n), owner[entry], spots[entry]
     half = items.allowed[item] + 1  # bands of 2 * half diagonals, each half of them on
     band = (where - spot + BASE) // half
     band = np.concatenate([band, band - 1])
@@ -208,41 +210,140 @@ def hits(data: bytes, begins: np.ndarray, items: Items) -> Iterator[tuple[int, i
     item, spot, band, doc = item[order], spot[order], band[order], doc[order]
     new = np.concatenate([[True], (item[1:] != item[:-1]) | (band[1:] != band[:-1]) | (doc[1:] != doc[:-1])])
     other = new | np.concatenate([[True], spot[1:] != spot[:-1]])
-    group = np.cumsum(new) - 1
-    count = np.bincount(group, weights=other)
     heads = np.flatnonzero(new)
-    good = np.flatnonzero(count >= items.least[item[heads]])
-    for g in good.tolist():
-        i, b, d = int(item[heads[g]]), int(band[heads[g]]), int(doc[heads[g]])
+    count = np.add.reduceat(other.astype(np.int64), heads)
+    good = heads[count >= items.least[item[heads]]]
+    yield from zip(doc[good].tolist(), item[good].tolist(), band[good].tolist(), strict=True)
+
+
+def few_at_once(where: np.ndarray, first: np.ndarray, n: np.ndarray, begins: np.ndarray, items: Items, most: int) -> Iterator[tuple[int, int, int]]:
+    """candidates() of any number of matches, `most` of them held at a time. A band of None stands for a document's part that
+    is to be aligned whole; the item of such a row comes with its place, as (item, left, right)."""
+    if not len(where):
+        return
+    whole = (items.owner, items.spot)
+    doc = np.searchsorted(begins, where, side="right") - 1
+    cuts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1], [True]]))
+    ends = np.concatenate([[0], np.cumsum(n)])[cuts]
+    i = 0
+    while i < len(cuts) - 1:
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + most, side="right")) - 1)
+        own = slice(cuts[i], cuts[j])
+        if ends[j] - ends[i] <= most:
+            yield from candidates(where[own], first[own], n[own], begins, items, whole)
+        else:
+            yield from of_one_document(where[own], first[own], n[own], begins, items, most)
+        i = j
+
+
+def of_one_document(where: np.ndarray, first: np.ndarray, n: np.ndarray, begins: np.ndarray, items: Items, most: int) -> Iterator[tuple]:
+    """few_at_once() of a single document: items in groups of few matches, or alone."""
+    heads, back, times = np.unique(first, return_inverse=True, return_counts=True)
+    length = np.zeros(len(heads), dtype=np.int64)
+    length[back] = n
+    entry = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length) + np.repeat(heads, length)
+    matches = np.bincount(items.owner[entry], weights=np.repeat(times, length), minlength=len(items.texts)).astype(np.int64)
+    met = np.flatnonzero(matches)
+    sums = np.cumsum(matches[met])
+    start = 0
+    while start < len(met):
+        base = sums[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(sums, base + most, side="right")))
+        low, high = met[start], met[stop - 1]
+        mine = entry[(items.owner[entry] >= low) & (items.owner[entry] <= high)]  # in the order of q-grams
+        entries = (items.owner[mine], items.spot[mine])
+        near = np.searchsorted(mine, first)
+        count = np.searchsorted(mine, first + n) - near
+        some = np.flatnonzero(count)
+        if sums[stop - 1] - base <= most:
+            yield from candidates(where[some], near[some], count[some], begins, items, entries)
+        else:
+            yield from of_one_item(int(low), where[some], near[some], count[some], begins, items, entries, most)
+        start = stop
+
+
+def of_one_item(item: int, where: np.ndarray, first: np.ndarray, n: np.ndarray, begins: np.ndarray, items: Items, entries: tuple, most: int) -> Iterator[tuple]:
+    """few_at_once() of a single document and item: pieces of the document that overlap by a region's length."""
+    reach = len(items.texts[item]) + 2 * int(items.allowed[item])
+    ends = np.concatenate([[0], np.cumsum(n)])
+    doc = int(np.searchsorted(begins, where[0], side="right")) - 1
+    start = 0
+    while start < len(where):
+        stop = int(np.searchsorted(ends, ends[start] + most, side="right")) - 1  # as many as may be held
+        stop = max(stop, int(np.searchsorted(where, where[start] + 2 * reach, side="left")))  # at the least two regions
+        if ends[stop] - ends[start] <= most:
+            yield from candidates(where[start:stop], first[start:stop], n[start:stop], begins, items, entries)
+        else:
+            yield doc, (item, int(where[start]) - reach, int(where[stop - 1]) + reach), None
+        if stop >= len(where):
+            return
+        start = max(start + 1, int(np.searchsorted(where, where[stop - 1] - reach, side="left")))
+
+
+def hits(data: bytes, begins: np.ndarray, items: Items, most: int = MOST_PAIRS) -> Iterator[tuple[int, int, int, int]]:
+    """(document, item, distance, position) of verified regions; data holds documents joined by separators, begins their
+    first bytes. At most one, the best, for each document, item and band; none behind one that stands as it is."""
+    grams = codes(data)
+    at = np.flatnonzero(items.table[slot(grams, len(items.table))])
+    found = grams[at]
+    first = np.searchsorted(items.grams, found, side="left")
+    n = np.searchsorted(items.grams, found, side="right") - first
+    some = np.flatnonzero(n)
+    exact_in: set[tuple[int, int]] = set()
+    for d, i, band in few_at_once(at[some], first[some], n[some], begins, items, most):
         start, stop = int(begins[d]), (int(begins[d + 1]) - 1 if d + 1 < len(begins) else len(data))
-        half_i, text = int(items.allowed[i]) + 1, items.texts[i]
-        low = b * half_i - BASE - half_i
-        high = b * half_i - BASE + 3 * half_i
-        left, right = max(start, low), min(stop, high + len(text) + half_i)
-        region = data[left:right]
+        if band is None:
+            i, left, right = i
+            left, right = max(start, left), min(stop, right)
+            low, high = -int(items.allowed[i]), right - left
+        else:
+            half = int(items.allowed[i]) + 1
+            low, high = band * half - BASE - half, band * half - BASE + 3 * half
+            left, right = max(start, low), min(stop, high + len(items.texts[i]) + half)
+            low, high = low - left, high - left
+        if (d, i) in exact_in:
+            continue
+        text, region = items.texts[i], data[left:right]
         exact = region.find(text)
         if exact >= 0:
+            exact_in.add((d, i))
             yield d, i, 0, left + exact - start
             continue
-        distance = banded_distance(text, region, low - left, high - left, int(items.allowed[i]))
+        distance = banded_distance(text, region, low, high, int(items.allowed[i]))
         if distance is not None:
             yield d, i, distance, left - start
 
 
-def judge(texts: list[bytes | None], items: Items) -> list[dict[int, tuple[int, int]]]:
+def judge(texts: list[bytes | None], items: Items, most: int = MOST_PAIRS) -> list[dict[int, tuple[int, int]]]:
     """For each text, item -> (distance, position)."""
     forms = [normalised(t) for t in texts]
     begins = np.concatenate([[0], np.cumsum([len(f) + 1 for f in forms])])[:-1]
     out: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
     data = SEPARATOR.join(forms)
-    for doc, item, distance, place in chain(hits(data, begins, items), brief_hits(data, begins, items)):
+    for doc, item, distance, place in chain(hits(data, begins, items, most), brief_hits(data, begins, items)):
         best = out[doc].get(item)
         if best is None or (distance, place) < best:
             out[doc][item] = (distance, place)
     return out
 
 
-def blocks_of(benchmark: DataFrame, errors: float, least: int, block_bytes: int, nameless: bool = False) -> Iterator[Items]:
+class Benchmark:
+    """A block of items as it is sent to the tasks; each worker prepares it once."""
+
+    held: tuple[str, Items] | None = None
+
+    def __init__(self, ids: list[int], texts: list[bytes], errors: float, least: int):
+        self.ids, self.texts, self.errors, self.least = ids, texts, errors, least
+        self.name = uuid.uuid4().hex
+
+    def items(self) -> Items:
+        if Benchmark.held is None or Benchmark.held[0] != self.name:
+            Benchmark.held = None
+            Benchmark.held = (self.name, prepare(self.ids, self.texts, self.errors, self.least))
+        return Benchmark.held[1]
+
+
+def blocks_of(benchmark: DataFrame, errors: float, least: int, block_bytes: int, nameless: bool = False) -> Iterator[Benchmark]:
     """The distinct normalised items in blocks of bounded size, streamed to the driver one partition at a time. nameless:
     with those that have no item_id."""
     forms: dict[bytes, int] = {}
@@ -254,10 +355,10 @@ def blocks_of(benchmark: DataFrame, errors: float, least: int, block_bytes: int,
             forms[form] = item_id
             held += len(form)
         if held >= block_bytes:
-            yield prepare(list(forms.values()), list(forms), errors, least)
+            yield Benchmark(list(forms.values()), list(forms), errors, least)
             forms, held = {}, 0
     if forms:
-        yield prepare(list(forms.values()), list(forms), errors, least)
+        yield Benchmark(list(forms.values()), list(forms), errors, least)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, least: int = LEAST, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -265,9 +366,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, least:
     bound_batches(docs.sparkSession)
     schema = "doc_id long, item_id long, distance int, position long"
     out = docs.sparkSession.createDataFrame([], schema)
-    for items in blocks_of(benchmark, errors, least, block_bytes):
+    for block in blocks_of(benchmark, errors, least, block_bytes):
 
-        def run(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], block: Benchmark = block) -> Iterator[pa.RecordBatch]:
+            items = block.items()
             for part in chunks(batches, "text", 2 << 20):
                 ids = part.column(0).to_pylist()
                 rows = [(ids[d], items.ids[i], *found) for d, got in enumerate(judge(as_bytes(part.column(1)), items)) for i, found in sorted(got.items())]
@@ -283,9 +385,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, least:
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, least: int = LEAST, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs without the rows that hold an item, one map for each block of items."""
     bound_batches(docs.sparkSession)
-    for items in blocks_of(benchmark, errors, least, block_bytes, nameless=True):
+    for block in blocks_of(benchmark, errors, least, block_bytes, nameless=True):
 
-        def run(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], block: Benchmark = block) -> Iterator[pa.RecordBatch]:
+            items = block.items()
             for part in chunks(batches, "text", 2 << 20):
                 found = judge(as_bytes(part.column(part.schema.get_field_index("text"))), items)
                 yield part.filter(pa.array([not x for x in found]))

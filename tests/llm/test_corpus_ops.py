@@ -297,6 +297,70 @@ def test_short_items_and_items_without_id(spark):
     assert {r.doc_id for r in decontaminate.drop_leaks(more, unnamed).collect()} == set(range(len(texts))) - {16}
 
 
+def test_frequent_qgrams_are_held_a_few_at_a_time():
+    """Texts and items that repeat few q-grams: the same verdicts however few matches are held, and those of brute force."""
+    rng = np.random.default_rng(9)
+
+    def poor(n, letters):
+        return "".join(rng.choice(list(letters), n))
+
+    items = [poor(60, "ab"), "ab" * 40, "a" * 90, poor(120, "abcdefgh"), "the same words " * 6, poor(200, "abc")]
+    texts = []
+    for i in range(24):
+        item = items[i % len(items)]
+        texts.append(poor(int(rng.integers(0, 300)), "abcdefgh"[: 2 + i % 6]) + edited(rng, item, int(rng.integers(0, 1 + len(item) // 8))) + poor(150, "ab") + ("a" * 200 if i % 5 == 0 else ""))
+    texts += ["ab" * 800, "a" * 1500, "the same words " * 70, None, ""]
+    forms = [decontaminate.normalised(x.encode()) for x in items]
+    whole = decontaminate.prepare(list(range(len(items))), forms, decontaminate.ERRORS)
+    expected = {}
+    for d, text in enumerate(texts):
+        for i, form in enumerate(forms):
+            distance = edit_distance_within(form, decontaminate.normalised((text or "").encode()))
+            if distance <= decontaminate.budget(len(form)):
+                expected[d, i] = distance
+    assert len(expected) > 25 and any(expected.values())
+    for most in (1 << 20, 5000, 300, 20):
+        found = decontaminate.judge([t and t.encode() for t in texts], whole, most)
+        assert {(d, i): x[0] for d, got in enumerate(found) for i, x in got.items()} == expected, most
+
+
+def test_a_text_of_several_megabytes(spark):
+    rng = np.random.default_rng(10)
+    words = [f"word{i}" for i in range(3000)]
+    item = " ".join(rng.choice(words, 30))
+    long = " ".join(rng.choice(words, 500_000)) + " " + edited(rng, item, 9) + " " + "same again " * 200_000
+    docs = spark.createDataFrame([(1, long), (2, "short"), (3, "x " + item)], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, item), (6, "same again " * 40), (7, "not there at all, whatever one does with it")], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.distance for r in decontaminate.leaks(docs, bench).collect()}
+    form = decontaminate.normalised
+    near = edit_distance_within(form(item.encode()), form(long.encode()))
+    assert 0 < near <= 9 and found == {(1, 5): near, (1, 6): 0, (3, 5): 0}
+
+
+def test_whole_query_against_brute_force(spark, tmp_path):
+    """All columns of the query, over tables with edited items, two items in one document, and rows without an id."""
+    rng = np.random.default_rng(12)
+    items = [" ".join("".join(rng.choice(list("abcdefgh "), 90)).split()) for _ in range(8)]
+    rows = []
+    for i in range(60):
+        text = "".join(rng.choice(list("abcdefgh "), 200))
+        for item in rng.choice(items, int(rng.integers(0, 3)), replace=False):
+            text += " " + edited(rng, str(item), int(rng.integers(0, 12))) + " " + "".join(rng.choice(list("abcdefgh "), 50))
+        rows.append((i if i % 20 else None, text))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i * 10, x) for i, x in enumerate(items)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    expected = {}
+    for doc_id, text in rows:
+        for i, item in enumerate(items):
+            distance = edit_distance_within(decontaminate.normalised(item.encode()), decontaminate.normalised(text.encode()))
+            if distance <= decontaminate.budget(len(decontaminate.normalised(item.encode()))):
+                expected.setdefault(doc_id, {}).setdefault(i * 10, []).append(distance)
+    wanted = sorted(((d, ",".join(map(str, sorted(x))), len(x), min(min(y) for y in x.values())) for d, x in expected.items()), key=repr)
+    got = queries.QUERIES["op10_decontamination"](spark, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.item_ids, r.n_items, r.least_distance) for r in got), key=repr) == wanted
+    assert len(wanted) > 15
+
+
 def test_verbatim_items_in_the_tables(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     items = spark.read.parquet(f"{sf}/benchmark.parquet").collect()
