@@ -1,5 +1,6 @@
 """Quality rules, sharding, token records, mixing and line dedup against plain Python."""
 
+import bisect
 import hashlib
 import re
 import zlib
@@ -93,6 +94,50 @@ def test_shards_are_even_and_whole(spark):
         assert max(found) - min(found) == len(found) - 1
 
 
+def test_equal_rows_are_cut(spark):
+    """Thousands of equal rows without a doc_id, half of all rows: no range holds much more than its share."""
+    docs = spark.createDataFrame([(None, "the same text")] * 4000 + [(i, f"text {i} of some length") for i in range(4000)], "doc_id long, text string")
+    keyed = sharding.keys_of(sharding._numbered(docs)).cache()
+    ranged, sizes = sharding.ranges(keyed, 8)
+    assert sum(sizes.values()) == ranged.agg({"size": "sum"}).first()[0]
+    assert max(sizes.values()) < 8 * sum(sizes.values()) / 128
+    fine, _ = sharding.ranges(keyed, 2, fine=2, range_rows=100)
+    assert max(r["count"] for r in fine.groupBy("part").count().collect()) < 1000
+    rows = sharding.shard_records(docs, shards=8).collect()
+    assert len(rows) == 8000
+    check_shards(rows, 8)
+    of = [sum(r.size for r in rows if r.shard == s) for s in range(8)]
+    assert max(of) - min(of) <= 2 * max(r.size for r in rows)
+
+
+def test_many_boundaries_inside_one_text(spark):
+    docs = spark.createDataFrame([(i, "hot" if i % 3 else f"t{i}") for i in range(3000)], "doc_id long, text string")
+    keyed = sharding.keys_of(sharding._numbered(docs)).cache()
+    keys = sorted((r.h, r.tie, r.row) for r in keyed.collect())
+    cuts = keys[5::7]
+    found = {(r.h, r.tie, r.row): r.part for r in sharding._with_range(keyed, cuts).collect()}
+    assert all(found[k] == bisect.bisect_right(cuts, k) for k in keys)
+
+
+def test_the_sharding_query(spark, sf):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = sharding.op3_sharding(spark, sf).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    assert {(r.law, r.grown_shard) for r in rows} == {("bytes", None)} and {r.shard for r in rows} <= set(range(40))
+    check_shards(rows, 40)
+    sizes = [sum(r.size for r in rows if r.shard == s) for s in range(40)]
+    assert max(sizes) - min(sizes) <= 2 * max(r.size for r in rows)
+    assert all((r.size, r.text_crc32) == (len(docs[r.doc_id].encode()) + 16, zlib.crc32(docs[r.doc_id].encode())) for r in rows)
+
+
+def test_shards_are_written_whole(spark, awkward, tmp_path):
+    sharding.write_shards(awkward, str(tmp_path / "shards"), shards=3)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    names = [c for c in awkward.columns if c != "shard"]
+    assert rows_of(back, *names) == rows_of(awkward, *names)
+    check_shards(back.collect(), 3)
+
+
 def test_shards_of_awkward_rows(spark, awkward, no_docs):
     rows = sharding.shard_records(awkward, shards=4).collect()
     assert len(rows) == awkward.count()
