@@ -11,10 +11,10 @@ apart have different parity, and the codeword nearest to one is within 4 bits of
 segment one side gives its nearest codeword and the other all codewords within 4 bits, parity choosing the side. No link
 is lost, with some 36 keys of 36 bits for a fingerprint.
 
-`wide` keys, for 128 bits and larger radii: pairs of codewords of the segments of each half, all codewords within 4 bits
-on both sides, some 170 keys. A pair within the radius is met with a probability: by measurement 0.99 at a Jaccard
-similarity of 0.9 of five-word shingles, about 0.9 at 0.8. There the radius is set wide (24 bits, a similarity of about
-0.73) and every link found is verified: the shingle sets of both texts are compared, and links below `least` go. The forest
+`wide` keys, for 128 bits and larger radii: pairs of codewords of the segments of each half, and of like segments of both,
+all codewords within 4 bits on both sides, some 255 keys. A pair within the radius is met with a probability: by
+measurement 0.998 at a Jaccard similarity of 0.9 or more of five-word shingles, 0.98 from 0.82 on, 0.94 at 0.8. There the
+radius is set wide (28 bits, a similarity of about 0.68) and every link found is verified: the shingle sets of both texts are compared, and links below `least` go. The forest
 of a component that falls apart by that says nothing of its other pairs, so those are all compared (`missed_links`).
 
 Keys are shuffled with the fingerprint, sorted, and streamed; within a bucket the distances are taken in numpy and only a
@@ -136,11 +136,13 @@ def complete_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def wide_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) for the pairs of codewords of two segments of one 64-bit half."""
+    """(row, key) for the pairs of codewords of two segments of one 64-bit half, and of like segments of both halves."""
     keys = [golay.near(p) for p in segments_of(prints)]
     n = len(SEGMENTS)
+    pairs = [(h + i, h + j) for h in range(0, len(keys), n) for i in range(n) for j in range(i + 1, n)]
+    pairs += [(i, n + i) for i in range(n) if len(keys) > n]
     rows, out = [], []
-    for tag, (i, j) in enumerate((h + i, h + j) for h in range(0, len(keys), n) for i in range(n) for j in range(i + 1, n)):
+    for tag, (i, j) in enumerate(pairs):
         r, (a, b) = golay.products([keys[i], keys[j]])
         rows.append(r)
         out.append((np.int64(tag) << 24) | (a << 12) | b)
@@ -378,7 +380,7 @@ def missed_links(links: DataFrame, parts: DataFrame, sets: DataFrame, least: flo
     return pair.groupBy("key").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 128, most: int = 24, least: float | None = 0.8, bucket: int = BUCKET) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 128, most: int = 28, least: float | None = 0.8, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, f0[, f1], component_id) for each row of docs(doc_id, text). least: the similarity to verify links by, None to
     go by fingerprints alone; documents of equal fingerprints are linked in either case."""
     names = [f"f{i}" for i in range(bits // 64)]

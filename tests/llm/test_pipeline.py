@@ -43,7 +43,7 @@ def test_stages(spark, sf):
     left = set(rows_of(unique))
     assert set(group.values()) <= left
     linked = [i for i in ids if group[i] != i]
-    assert len(linked) > 5 and sum(i in left for i in linked) <= 0.2 * len(linked)  # two of twelve are missed here, two of 106 at sf 0.01
+    assert len(linked) > 5 and sum(i in left for i in linked) <= 0.1 * len(linked)
 
     clean = corpus_pipeline.decontamination(spark, unique, sf).cache()
     items = [decontaminate.normalised(r.text.encode()) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
@@ -97,7 +97,7 @@ def test_links_are_those_of_the_similarity(spark):
     texts = dict(rows)
     found = {r.doc_id: r.component_id for r in simhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     alike = [(a, b) for a, b in pairs if similar(shingles(texts[a]), shingles(texts[b]))]
-    assert sum(found[b] == a for a, b in alike) >= 0.93 * len(alike) > 50
+    assert sum(found[b] == a for a, b in alike) >= 0.96 * len(alike) > 50
     assert all(found[b] == b for a, b in pairs if (a, b) not in alike)
     assert all(found[a] == a for a, _ in pairs)
 

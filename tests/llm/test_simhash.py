@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from loomrank.llm import golay, simhash_dedup as sd
+from loomrank.llm import golay, queries, simhash_dedup as sd
 
 
 def plain_print(text, width=3):
@@ -61,20 +61,22 @@ def test_complete_keys_lose_no_link():
         assert set(keys[rows == 0].tolist()) & set(keys[rows == 1].tolist())
 
 
-def test_op1_against_brute_force(spark, sf, awkward):
+def test_op1_against_brute_force(spark, sf, awkward, tmp_path):
+    """The query itself, with null, empty, repeated and very long texts."""
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").union(awkward.selectExpr("doc_id + 100000", "text"))
+    longer = " ".join(f"w{i * 7919 % 30011}" for i in range(60_000))
+    docs = docs.union(spark.createDataFrame([(200_001, longer), (200_002, longer + " end"), (200_003, "X" * 500_000)], "doc_id long, text string"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
     text = {}
     for r in docs.collect():
         text.setdefault(r.doc_id, r.text)
-    prints = {d: plain_print(t) for d, t in text.items() if d is not None and len(t or "") < 100_000}
-    few = docs.where("coalesce(length(text), 0) < 100000")
-    found = sd.near_duplicates(few, width=3, bits=64, most=3, least=None).collect()
-    assert len(found) == few.count()
+    prints = {d: plain_print(t) for d, t in text.items() if d is not None}
+    found = queries.QUERIES["op1_simhash_near_dedup"](spark, str(tmp_path)).collect()
+    assert len(found) == docs.count()
     expected = plain_components(prints, 3)
     for r in found:
         if r.doc_id is not None:
-            assert r.f0 % (1 << 64) == prints[r.doc_id]
-            assert r.component_id == expected[r.doc_id]
+            assert (r.fingerprint, r.component_id) == (f"{prints[r.doc_id]:016x}", expected[r.doc_id])
 
 
 @pytest.mark.parametrize("bucket", [8, 8192])
