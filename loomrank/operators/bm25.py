@@ -16,11 +16,13 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 
 from loomrank.functions import text as tx
 
-#: Query-side tables are broadcast up to this many rows; beyond, Spark chooses.
+#: Query-side tables are broadcast up to this many rows and bytes; beyond, Spark chooses.
 MOST_BROADCAST_ROWS = 500_000
+MOST_BROADCAST_BYTES = 64 << 20
 
 
 class Stemmer(Protocol):
@@ -60,18 +62,27 @@ DEFAULT = Bm25()
 
 
 PASSAGE = ["doc_pos", "chunk_idx"]
+COUNTS = "array<struct<term:string,tf:bigint>>"
 
 
 def tokenized(passages: DataFrame, rule: Bm25 = DEFAULT) -> DataFrame:
-    """Passages with their terms, length, and norm2, the sum of squared term counts."""
-    start = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).cast("long").alias("sum"))
+    """Passages with `counts`, their terms in order with the number of each, their length dl in terms and in chars, and norm2,
+    the sum of squared term counts. A passage is one row, so its terms are counted in the row: one fold over sorted terms."""
+    none = F.array().cast(COUNTS)
+    start = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).cast("long").alias("run"), none.alias("out"))
+
+    def closed(acc: Column) -> Column:
+        return F.when(acc.run > 0, F.concat(acc.out, F.array(F.struct(acc["last"].alias("term"), acc.run.alias("tf"))))).otherwise(acc.out)
 
     def step(acc: Column, term: Column) -> Column:
-        run = F.when(acc.last == term, acc.run + 1).otherwise(F.lit(1))
-        return F.struct(term.alias("last"), run.alias("run"), (acc["sum"] + (2 * run - 1)).alias("sum"))
+        same = acc["last"].eqNullSafe(term)
+        run = F.when(same, acc.run + 1).otherwise(F.lit(1).cast("long"))
+        return F.struct(term.alias("last"), run.alias("run"), F.when(same, acc.out).otherwise(closed(acc)).cast(COUNTS).alias("out"))
 
-    norm2 = F.aggregate(F.array_sort("terms"), start, step, lambda acc: acc["sum"])
-    return passages.withColumn("terms", rule.terms(F.col("text"))).withColumn("dl", F.size("terms")).withColumn("norm2", norm2)
+    terms = passages.withColumn("_terms", rule.terms(F.col("text")))
+    counted = terms.withColumn("counts", F.aggregate(F.array_sort("_terms"), start, step, lambda acc: closed(acc).cast(COUNTS)))
+    norm2 = F.aggregate("counts", F.lit(0).cast("long"), lambda sum_, c: sum_ + c.tf * c.tf)
+    return counted.select(*passages.columns, "counts", F.size("_terms").alias("dl"), F.length("text").alias("chars"), norm2.alias("norm2"))
 
 
 def corpus_stats(tokens: DataFrame) -> DataFrame:
@@ -80,17 +91,14 @@ def corpus_stats(tokens: DataFrame) -> DataFrame:
 
 
 def postings(tokens: DataFrame, only: DataFrame | None = None) -> DataFrame:
-    """(term, doc_pos, chunk_idx, dl, tf); only(term): a small set of terms to keep. Passages are dealt by their key, so
-    that counting terms here and summing over a passage later need no other exchange."""
-    each = tokens.select(*PASSAGE, "dl", "terms").repartition(*PASSAGE).select(*PASSAGE, "dl", F.explode("terms").alias("term"))
-    if only is not None:
-        each = each.join(only, "term", "left_semi")
-    return each.groupBy("term", *PASSAGE, "dl").agg(F.count("*").alias("tf"))
+    """(term, doc_pos, chunk_idx, dl, tf); only(term): a small set of terms to keep. Nothing is shuffled."""
+    each = tokens.select(*PASSAGE, "dl", F.explode("counts").alias("c")).select("c.term", *PASSAGE, "dl", "c.tf")
+    return each if only is None else each.join(only, "term", "left_semi")
 
 
 def term_df(tokens: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """(term, df), summed in each task before anything moves."""
-    each = tokens.select(F.explode(F.array_distinct("terms")).alias("term"))
+    each = tokens.select(F.explode("counts.term").alias("term"))
     if only is not None:
         each = each.join(only, "term", "left_semi")
     return each.groupBy("term").agg(F.count("*").alias("df"))
@@ -106,10 +114,29 @@ def idf(n_docs: Column, df: Column) -> Column:
     return F.log(F.lit(1.0) + (n_docs - df + F.lit(0.5)) / (df + F.lit(0.5)))
 
 
-def checked(df: DataFrame, most: int = MOST_BROADCAST_ROWS) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
-    """df, and a hint to broadcast tables of at most as many rows as df; it does nothing if df is not small."""
-    few = df.limit(most + 1).count() <= most
-    return df, F.broadcast if few else lambda other: other
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row of df in memory."""
+
+    def size(column: Column, kind) -> Column:
+        if isinstance(kind, StringType | BinaryType):
+            return F.coalesce(F.octet_length(column), F.lit(0)) + F.lit(16)
+        if isinstance(kind, ArrayType):
+            wide = kind.elementType
+            if isinstance(wide, StringType | BinaryType | ArrayType | StructType):
+                return F.coalesce(F.aggregate(column, F.lit(16), lambda sum_, x: sum_ + size(x, wide).cast("int")), F.lit(16))
+            return F.greatest(F.size(column), F.lit(0)) * 8 + F.lit(16)
+        if isinstance(kind, StructType):
+            return sum((size(column[f.name], f.dataType) for f in kind.fields), F.lit(8))
+        return F.lit(8)
+
+    return sum((size(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(8)).cast("long")
+
+
+def checked(df: DataFrame, most: int = MOST_BROADCAST_ROWS, most_bytes: int = MOST_BROADCAST_BYTES) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """df, and a hint to broadcast tables of at most as many rows as df; it does nothing if df is not small, in rows and in
+    bytes."""
+    rows, size = df.limit(most + 1).agg(F.count("*"), F.sum(row_bytes(df))).first()
+    return df, F.broadcast if rows <= most and (size or 0) <= most_bytes else lambda other: other
 
 
 def small(df: DataFrame, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
@@ -118,7 +145,7 @@ def small(df: DataFrame, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
 
 
 class Index:
-    """An inverted index: passages with their terms, corpus statistics, and postings.
+    """An inverted index: passages with their terms' counts, corpus statistics, and postings.
 
     A `stored` index reads postings and document frequencies from tables sorted by term; one made `over` passages draws the
     postings of the terms asked for from the passages' terms, in one pass for each set of queries.
@@ -140,10 +167,6 @@ class Index:
     def term_df(self) -> DataFrame:
         return term_df(self.tokens) if self._dfs is None else self._dfs
 
-    def postings_of(self, terms: DataFrame) -> DataFrame:
-        """Postings of terms(term), a small table, dealt by passage."""
-        return postings(self.tokens, terms) if self._post is None else self._post.join(terms, "term", "left_semi").repartition(*PASSAGE)
-
     def df_of(self, terms: DataFrame) -> DataFrame:
         """(term, df) of terms(term)."""
         return term_df(self.tokens, terms) if self._dfs is None else self._dfs.join(terms, "term", "left_semi")
@@ -161,7 +184,8 @@ class Index:
         spark = passages.sparkSession
         tokenized(passages, rule).write.mode("overwrite").parquet(f"{path}/tokens")
         tokens = spark.read.parquet(f"{path}/tokens")
-        postings(tokens).repartition("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
+        by_term = postings(tokens).repartitionByRange("term", *PASSAGE).sortWithinPartitions("term", *PASSAGE)  # a frequent term is cut
+        by_term.write.mode("overwrite").parquet(f"{path}/postings")
         term_df(tokens).write.mode("overwrite").parquet(f"{path}/term_df")
         corpus_stats(tokens).write.mode("overwrite").parquet(f"{path}/stats")
         manifest = json.dumps({"rule": rule.key(), "passages": fingerprint(tokens)}, sort_keys=True)
@@ -186,7 +210,8 @@ class Index:
 
     def scored(self, queries: DataFrame) -> DataFrame:
         """(query_id, doc_pos, chunk_idx, bm25_score, matched, shared): all hits. matched: sum of query counts times passage
-        counts of common terms; shared: sum of idf of the distinct common terms."""
+        counts of common terms; shared: sum of idf of the distinct common terms. Only hits reach the exchange, summed in
+        each task before."""
         asked, few = checked(query_terms(queries, self.rule))
         only = few(asked.select("term").distinct())
         weights = few(asked).join(self.df_of(only), "term").crossJoin(F.broadcast(self.stats))  # stats is one row
@@ -194,7 +219,7 @@ class Index:
         tf, dl = F.col("tf"), F.col("dl")
         k1, b = F.lit(float(self.rule.k1)), F.lit(float(self.rule.b))
         weight = F.col("qtf") * F.col("idf") * tf / (tf + k1 * (F.lit(1.0) - b + b * dl / F.col("avgdl")))
-        joined = self.postings_of(only).join(weights, "term")
+        joined = self.postings.join(weights, "term")
         sums = joined.groupBy("query_id", "doc_pos", "chunk_idx").agg(F.sum(weight).alias("bm25_score"), F.sum(F.col("qtf") * tf).alias("matched"), F.sum("idf").alias("shared"))
         return sums.withColumn("bm25_score", F.round("bm25_score", 6))
 

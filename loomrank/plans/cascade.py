@@ -44,7 +44,7 @@ class Cascade:
 
 def with_passages(hits: DataFrame, index: bm25.Index, *columns: str) -> DataFrame:
     """hits with columns of their passages. The hits are the small side, but nothing bounds them: Spark chooses."""
-    return hits.join(index.tokens.withColumn("chars", F.length("text")).select(*ranking.PASSAGE, *columns), ranking.PASSAGE)
+    return hits.join(index.tokens.select(*ranking.PASSAGE, *columns), ranking.PASSAGE)
 
 
 def lexical(index: bm25.Index, queries: DataFrame, k: int) -> DataFrame:

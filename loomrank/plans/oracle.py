@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 
+from loomrank.functions.text import BOILERPLATE, STOP_WORDS
+
 WS = r"[\x09-\x0d\x1c-\x20\x85\p{Z}]"
-STOP = "a an and are as at be but by for if in into is it no not of on or such that the their then there these they this to was will with"
-PHRASES = ["click here", "next page", "previous page", "copyright ©", "all rights reserved", "terms of service", "privacy policy"]
 
 
 def words(x: str) -> str:
@@ -18,7 +18,7 @@ def strip(x: str) -> str:
 
 
 def terms(x: str) -> str:
-    stop = ", ".join(f"'{w}'" for w in STOP.split())
+    stop = ", ".join(f"'{w}'" for w in STOP_WORDS)
     return rf"list_filter(regexp_extract_all(lower({x}), '[\p{{L}}\p{{N}}_]{{2,}}'), lambda w: w NOT IN ({stop}))"
 
 
@@ -27,7 +27,7 @@ def alpha(x: str) -> str:
 
 
 def boilerplate(x: str) -> str:
-    return "(" + " OR ".join(f"contains(lower({x}), '{p}')" for p in PHRASES) + ")"
+    return "(" + " OR ".join(f"contains(lower({x}), '{p}')" for p in BOILERPLATE) + ")"
 
 
 #: Named parts in the order of their use; `upto` chains them.
@@ -141,7 +141,7 @@ SQL = {
     "vector_l2_normalize": f"SELECT vec_id, round(list_sum(list_transform({VEC}, lambda x: x / sqrt(list_dot_product({VEC}, {VEC})))), 5) AS total, round(({VEC})[1] / sqrt(list_dot_product({VEC}, {VEC})), 6) AS first FROM embeddings",
     "vector_similarity": f"SELECT a.vec_id AS a_id, b.vec_id AS b_id, round(list_dot_product({VEC.replace('embedding', 'a.embedding')}, {VEC.replace('embedding', 'b.embedding')}), 6) AS sim FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1",
     "vector_rerank_topk": f"SELECT query_id, doc_id, sim, CAST(n AS INTEGER) AS dense_rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, length, bm25_rank) AS n FROM {VSIM}) WHERE n <= 100",
-    "vector_batch_rerank": f"""SELECT query_id, doc_id, CAST(n AS INTEGER) AS dense_rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, length, bm25_rank) AS n FROM {VSIM} WHERE label % 2 = 0) WHERE n <= 5""",
+    "vector_batch_rerank": f"""SELECT query_id, doc_id, CAST(n AS INTEGER) AS dense_rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, length, bm25_rank) AS n FROM {VSIM}) WHERE n <= 5""",
     "dense_rerank_topk": of("SELECT query_id, doc_id, sim, CAST(dense_rank AS INTEGER) AS dense_rank FROM dense", "dense"),
     "cross_encoder_topk": of("SELECT query_id, doc_id, ce_score, CAST(ce_rank AS INTEGER) AS ce_rank FROM pair", "pair"),
     "banded_sample": of("SELECT query_id, doc_id, CAST(ce_rank AS INTEGER) AS ce_rank, CAST(cand_pos AS INTEGER) AS cand_pos FROM cand", "cand"),
