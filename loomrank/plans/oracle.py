@@ -171,3 +171,42 @@ SQL = {
     "pyserini_projection": "SELECT CAST(doc_id AS VARCHAR) AS id, text AS contents FROM documents",
     "pipeline_end_to_end": of("SELECT query_id, query, positive_doc_ids, positive_scores, hard_negative_doc_ids FROM trip", "trip"),
 }
+
+#: Files and runs: what reading back must give, straight from the tables.
+SPLIT = "SELECT query_id, 0 AS iter, doc_id, relevance_score AS relevance, CASE WHEN batch_id > 0 THEN 'train' ELSE 'dev' END AS split FROM syn"
+SYN_CACHE = "SELECT substr(md5(query), 1, 16) AS query_hash, 'd' || (cand_pos % 9) AS doc_id, relevance_score, answerable, 'j' AS judge_id, batch_id FROM syn"
+PROMPT_MD5 = SQL["prompt_build"][SQL["prompt_build"].index("md5('Query") : SQL["prompt_build"].index(" AS prompt_md5")]
+
+SQL |= {
+    "jsonl_tolerant": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents WHERE doc_id % 5 <> 0 AND doc_id % 7 <> 0",
+    "jsonl_strict": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents WHERE doc_id % 7 <> 0",
+    "jsonl_missing_file": "SELECT CAST(0 AS BIGINT) AS n",
+    "count_lines_file": "SELECT count(*) AS n FROM documents WHERE doc_id % 7 <> 0",
+    "qrels_file": of(f"SELECT query_id, doc_id, relevance_score FROM syn WHERE {POSITIVE}", "syn"),
+    "qrels_split_file": of(SPLIT, "syn"),
+    "triples_file": of("""SELECT p.query_id, p.query, p.positive_doc_ids, p.positive_scores, coalesce(n.ids, '') AS hard_negative_doc_ids
+        FROM (SELECT query_id, min(query) AS query, string_agg(doc_id, ',' ORDER BY cand_pos) AS positive_doc_ids, string_agg(CAST(relevance_score AS VARCHAR), ',' ORDER BY cand_pos) AS positive_scores
+              FROM syn WHERE answerable AND relevance_score >= 2 GROUP BY query_id) p
+        LEFT JOIN (SELECT query_id, string_agg(doc_id, ',' ORDER BY cand_pos) AS ids FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cand_pos) AS n FROM syn
+              WHERE NOT (answerable AND relevance_score >= 2) AND ((bm25_rank <= 20) <> coalesce(dense_rank <= 20, false) OR relevance_score = 1)) WHERE n <= 10 GROUP BY query_id) n ON p.query_id = n.query_id""", "syn"),
+    "lucene_file": "SELECT CAST(doc_id AS VARCHAR) AS id, text AS contents FROM documents",
+    "page_tree": f"SELECT 'topic ' || (item_id % 3) AS topic, md5({strip("string_agg(text, chr(10) ORDER BY item_id)")}) AS text_md5 FROM benchmark WHERE item_id % 3 > 0 GROUP BY item_id % 3",
+    "raw_query_file": """SELECT 'q' || lpad(CAST(row_number() OVER (ORDER BY item_id) - 1 AS VARCHAR), 6, '0') AS query_id, text, CASE WHEN item_id % 3 = 2 THEN 't' END AS topic,
+        CASE WHEN item_id % 2 = 0 THEN 's' || item_id END AS source_id FROM benchmark QUALIFY item_id % 4 <> 0""",
+    "split_tables": """SELECT 'corpus' AS name, count(*) AS n FROM documents UNION ALL SELECT 'queries', count(*) FROM benchmark
+        UNION ALL SELECT 'qrels', count(*) FROM labels UNION ALL SELECT 'written', 1 UNION ALL SELECT 'again', 0""",
+    "published_tables": of(f"SELECT 'qrels' AS kind, count(*) AS n FROM syn WHERE {POSITIVE} UNION ALL SELECT 'triples', count(DISTINCT query_id) FROM syn WHERE {POSITIVE}", "syn"),
+    "chat_payload": of(f"SELECT query_id, doc_id, 'user' AS role, {PROMPT_MD5} AS content_md5, 0e0 AS temperature, CAST(3 AS INTEGER) AS max_tokens, '.' AS stop FROM cand", "cand"),
+    "encoder_vectors": of("SELECT query_id, CAST(length(text) AS DOUBLE) AS chars, CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS es FROM queries", "queries"),
+    "pair_scores": of("SELECT query_id, doc_id, round(CAST(length(query) AS DOUBLE) / greatest(1, length(text)), 6) AS ce_score FROM cand", "cand"),
+    "stemmed_terms": f"SELECT doc_id, array_to_string(list_transform({terms('text')}, lambda t: regexp_replace(t, 's$', '')), ' ') AS terms FROM documents",
+    "embedding_stats": "SELECT count(embedding) AS n_vectors, CAST(sum(len(embedding)) * 4 AS BIGINT) AS bytes FROM embeddings",
+    "judged_with_cache": of("""SELECT query_id, doc_id, CASE WHEN cand_pos % 3 = 0 THEN CASE WHEN cand_pos % 2 = 0 THEN 3 ELSE 0 END ELSE relevance_score END AS relevance_score,
+        CASE WHEN cand_pos % 3 = 0 THEN cand_pos % 2 = 0 ELSE answerable END AS answerable, CASE WHEN cand_pos % 3 = 0 THEN 'cache' ELSE source END AS source FROM judged""", "judged"),
+    "judged_without_prefilter": of("SELECT query_id, doc_id, CASE WHEN ce_score >= 0.5e0 THEN 3 ELSE 0 END AS relevance_score, 'judge' AS source FROM cand", "cand"),
+    "run_remaining": of("SELECT query_id, text FROM queries WHERE CAST(substr(query_id, 2) AS INTEGER) % 3 = 2", "queries"),
+    "run_finished_only": of(f"SELECT query_id, doc_id, relevance_score, CAST(1 AS BIGINT) AS next_batch FROM syn WHERE {POSITIVE} AND batch_id = 0", "syn"),
+    "run_cache": of(f"""SELECT * FROM ({SYN_CACHE}) WHERE batch_id = 0
+        UNION ALL SELECT substr(md5(query), 1, 16), doc_id, CASE WHEN relevance_score > 1 THEN 3 ELSE 0 END, relevance_score > 1, 'j', batch_id FROM syn WHERE batch_id = 2 AND relevance_score <> 1""", "syn"),
+    "run_of_nothing": "SELECT name, CAST(0 AS BIGINT) AS n FROM (VALUES ('qrels'), ('triples'), ('cache'), ('processed'), ('next')) AS t(name)",
+}

@@ -418,3 +418,6 @@ def pyserini_projection(spark, sf):
 def pipeline_end_to_end(spark, sf):
     """Documents and queries to training triples."""
     return joined_arrays(mining.triples(judged(spark, sf)))
+
+
+from loomrank.plans import io_queries  # noqa: E402, F401  registers its queries here

@@ -7,7 +7,8 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def build(app: str = "loomrank", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,15 +32,41 @@ def share_code(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a folder of our own only where none is set (tests)."""
+    """The shared folder of the cluster, from spark.checkpoint.dir or the context's checkpoint folder. A folder of our own is
+    made only where neither is set and the master is a local one (tests); a cluster without a shared folder is an error,
+    since each executor would write to its own disk."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = known.get() if known.isDefined() else tempfile.mkdtemp(prefix="loomrank-")
+        if known.isDefined():
+            root = known.get()
+        elif spark.sparkContext.master.split("[")[0] == "local":
+            root = tempfile.mkdtemp(prefix="loomrank-")
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete the intermediate tables that `written` has left in the shared folder, once no result that reads them is needed
+    any more; whether there were any."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/loomrank")
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def row_numbers(df: DataFrame, name: str, *order: str) -> DataFrame:
+    """df with `name`, numbers from 0 without a gap, in the order of the columns `order` (of whole partitions or splits), then
+    of partitions, then of rows. A row for each partition meets in one task; the rows don't move."""
+    numbered = settled(df).withColumn("_row", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_row", 33))
+    by = [*order, "_part"]
+    parts = numbered.groupBy(*by).agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    ahead = F.sum("_n").over(Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.withColumn("_ahead", F.coalesce(ahead, F.lit(0))).drop("_n")
+    return numbered.join(parts, by).withColumn(name, F.col("_ahead") + F.col("_row") - F.col("_first")).select(*df.columns, name)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/loomrank/{name}-{uuid.uuid4().hex}"
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loomrank import schemas
 from loomrank.functions import text as tx
+from loomrank.session import row_numbers
 
 log = logging.getLogger(__name__)
 
@@ -85,8 +86,8 @@ def page_texts(spark: SparkSession, root: str) -> DataFrame:
 
 def raw_queries(spark: SparkSession, path: str) -> DataFrame:
     """(query_id, text, topic, source_id) of query lines; a query's number counts every line before it, blank ones too."""
-    lines = spark.read.text(path)
-    numbered = lines.rdd.zipWithIndex().map(lambda x: (x[0][0], x[1])).toDF("value string, number long")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    numbered = row_numbers(lines, "number", "file", "start")
     some = numbered.where(tx.strip(F.col("value")) != "").select("number", F.from_json("value", schemas.RAW_QUERIES, {"mode": "FAILFAST"}).alias("q"))
     text = F.when(F.col("q.query").isNotNull(), F.col("q.query")).otherwise(F.raise_error(F.lit("a line without a query")).cast("string"))
     return some.select(tx.query_id(F.col("number")).alias("query_id"), text.alias("text"), F.nullif(F.col("q.topic"), F.lit("")).alias("topic"), F.nullif(F.col("q.source_doc"), F.lit("")).alias("source_id"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomrank.sources import readers
@@ -60,6 +61,34 @@ class Publisher(Protocol):
     def publish(self, name: str, path: str, token: str, private: bool) -> None: ...
 
 
+class FolderPublisher:
+    """Publishes to a folder of any store that Spark can write to: <root>/<name>, replaced as a whole, with a card that says
+    whether it is private. The token is not kept."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def publish(self, name: str, path: str, token: str, private: bool) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        source, target = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        there = target.getFileSystem(conf)
+        there.delete(target, True)
+        there.mkdirs(target.getParent())
+        if not jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, there, target, False, conf):
+            raise OSError(f"could not copy {path}")
+        card = self.spark.createDataFrame([(json.dumps({"name": name, "private": private}),)], "value string")
+        card.coalesce(1).write.mode("overwrite").text(f"{self.root}/{name}/card")
+
+
+def published(publisher: Publisher, folders: dict[str, str], token: str | None, private: bool) -> None:
+    """Give each folder to the publisher, which needs a token, given or in HF_TOKEN."""
+    token = token or os.environ.get("HF_TOKEN")
+    if not token:
+        raise ValueError("a token is needed: give one or set HF_TOKEN")
+    for name, path in folders.items():
+        publisher.publish(name, path, token, private)
+
+
 def export_labels(spark, qrels_path: str, triples_path: str, out: str, publisher: Publisher | None = None, repo: str = "labels", token: str | None = None, private: bool = False) -> dict[str, int]:
     """Both label files as Parquet with the raw files beside them, under <out>/<repo>-qrels and -triples. A publisher needs a
     token, given or in HF_TOKEN."""
@@ -73,9 +102,5 @@ def export_labels(spark, qrels_path: str, triples_path: str, out: str, publisher
         spark.read.text(path).write.mode("overwrite").text(f"{folder}/raw")
         counts[kind] = spark.read.parquet(f"{folder}/data").count()
     if publisher is not None:
-        token = token or os.environ.get("HF_TOKEN")
-        if not token:
-            raise ValueError("a token is needed: give one or set HF_TOKEN")
-        for kind in counts:
-            publisher.publish(f"{repo}-{kind}", f"{out}/{repo}-{kind}", token, private)
+        published(publisher, {f"{repo}-{kind}": f"{out}/{repo}-{kind}" for kind in counts}, token, private)
     return counts

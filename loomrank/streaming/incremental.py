@@ -3,7 +3,8 @@
 Every batch writes judgments, labels, cache rows and processed ids under its own batch number, the processed ids last.
 A batch without them is none: readers pass over it, and a rerun takes a new number. Processed ids come from the queries,
 not from their results, so a query without a hit is not asked again; a query whose judging failed is not marked and is
-retried. `follow` runs the same function over a stream of query files.
+retried. The answers that a batch got before it was cut off are paid for: later batches take them as cached. `follow` runs
+the same function over a stream of query files.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loomrank import schemas
+from loomrank.functions import text as tx
 from loomrank.operators import bm25, judging, mining
 from loomrank.plans import cascade
 from loomrank.sources import readers
@@ -52,14 +54,21 @@ class Run:
     def triples(self) -> DataFrame:
         return self._finished("triples", schemas.TRIPLES)
 
+    def paid(self) -> DataFrame:
+        """Cache rows of the answers, errors left out, that batches without an end have written."""
+        rows = self._table("answers", ANSWERS).where("error IS NULL AND answer IS NOT NULL")
+        lost = rows.join(bm25.small(self.batches()), "batch_id", "left_anti")
+        return lost.select(tx.query_hash(F.col("query")).alias("query_hash"), "doc_id", *judging.verdict(judging.is_yes(F.col("answer"))), "judge_id", "batch_id")
+
     def cache(self) -> DataFrame:
-        return self._finished("cache", schemas.CACHE)
+        return self._finished("cache", schemas.CACHE).unionByName(self.paid())
 
     def clear_cache(self) -> None:
         """Empty the cache and forget nothing else: later batches start from none."""
-        empty = self.spark.createDataFrame([], schemas.CACHE).drop("batch_id")
-        for row in self._table("cache", schemas.CACHE).select("batch_id").distinct().toLocalIterator():
-            empty.write.mode("overwrite").parquet(f"{self.path}/cache/batch_id={row.batch_id}")
+        for name, schema in (("cache", schemas.CACHE), ("answers", ANSWERS)):
+            empty = self.spark.createDataFrame([], schema).drop("batch_id")
+            for row in self._table(name, schema).select("batch_id").distinct().toLocalIterator():
+                empty.write.mode("overwrite").parquet(f"{self.path}/{name}/batch_id={row.batch_id}")
 
     def stats(self) -> DataFrame:
         return self._finished("judged", JUDGED).drop("batch_id")
@@ -70,7 +79,7 @@ class Run:
         return queries.join(self.processed(), "query_id", "left_anti")
 
     def next_batch(self) -> int:
-        known = [self._table(n, s).agg(F.max("batch_id")).first()[0] for n, s in (("processed", schemas.PROCESSED), ("judged", JUDGED))]
+        known = [self._table(n, s).agg(F.max("batch_id")).first()[0] for n, s in (("processed", schemas.PROCESSED), ("judged", JUDGED), ("answers", ANSWERS))]
         return max([-1, *(k for k in known if k is not None)]) + 1
 
     def batch(self, queries: DataFrame) -> int:
@@ -80,7 +89,7 @@ class Run:
 
         def write(answers: DataFrame) -> DataFrame:
             path = f"{self.path}/answers/batch_id={number}"
-            answers.write.mode("overwrite").parquet(path)
+            answers.withColumn("judge_id", F.lit(self.plan.judge.judge_id)).write.mode("overwrite").parquet(path)
             return self.spark.read.schema(answers.schema).parquet(path)
 
         self._put("judged", cascade.judged(self.index, todo, self.plan, self.cache(), write).select(*JUDGED_COLUMNS), number)
@@ -122,4 +131,5 @@ JUDGED = (
     "query_id STRING, query STRING, doc_id STRING, text STRING, bm25_rank INT, dense_rank INT, ce_rank INT, ce_score DOUBLE, cand_pos INT, "
     "relevance_score INT, answerable BOOLEAN, confidence DOUBLE, error STRING, source STRING"
 )
+ANSWERS = "query STRING, doc_id STRING, answer STRING, error STRING, judge_id STRING"
 JUDGED_COLUMNS = [c.split()[0] for c in JUDGED.split(", ")]

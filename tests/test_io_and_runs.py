@@ -171,6 +171,36 @@ def test_failed_queries_are_asked_again(spark, small_world, tmp_path):
     assert {r.query_id for r in again.processed().collect()} == {"q10", "q11"}
 
 
+class Refusing(judging.CoverageJudge):
+    """Says nothing but errors: whatever comes back was answered before."""
+
+    def answers(self, pairs):
+        return super().answers(pairs).withColumn("answer", F.lit(None).cast("string")).withColumn("error", F.lit("no answer"))
+
+
+def test_answers_of_a_cut_off_batch_are_used(spark, small_world, tmp_path):
+    docs, queries = small_world
+    queries = queries.where("query_id in ('q10', 'q11')")
+    index = bm25.Index.over(passages.passages_of(docs))
+    run = incremental.Run(spark, str(tmp_path / "run"), index, cascade.Cascade())
+
+    def cut(name, rows, batch, put=run._put):
+        put(name, rows, batch)
+        raise RuntimeError("lost")
+
+    run._put = cut
+    with pytest.raises(RuntimeError):
+        run.batch(queries)
+    again = incremental.Run(spark, str(tmp_path / "run"), index, cascade.Cascade(judge=Refusing()))
+    assert again.processed().count() == 0 and again.paid().count() > 0
+    assert again.batch(queries) == 1
+    assert again.processed().count() == 2
+    expected = {(r.query_id, r.doc_id) for r in cascade.labels(cascade.judged(index, queries, cascade.Cascade()), cascade.Cascade())[0].collect()}
+    assert {(r.query_id, r.doc_id) for r in again.qrels().collect()} == expected
+    again.clear_cache()
+    assert again.cache().count() == 0
+
+
 def test_stream_of_query_files(spark, small_world, tmp_path):
     docs, queries = small_world
     index = bm25.Index.over(passages.passages_of(docs))
@@ -204,6 +234,15 @@ def test_command_line(spark, small_world, tmp_path, monkeypatch):
     assert readers.exists(spark, at["out"] + "/qrels.tsv") and "queries processed: 2" in (tmp_path / "logs/agent.log").read_text()
     main(["export", "--qrels", at["out"] + "/qrels.tsv", "--triples", at["out"] + "/triples.jsonl", "--out", at["export"]])
     assert readers.exists(spark, at["export"] + "/labels-qrels/data")
+    monkeypatch.setenv("HF_TOKEN", "t")
+    main(["export", "--qrels", at["out"] + "/qrels.tsv", "--triples", at["out"] + "/triples.jsonl", "--out", at["export"], "--publish-to", str(tmp_path / "box"), "--private"])
+    assert spark.read.parquet(str(tmp_path / "box/labels-qrels/data")).count() == spark.read.parquet(at["export"] + "/labels-qrels/data").count()
+    assert json.loads(spark.read.text(str(tmp_path / "box/labels-qrels/card")).first()[0]) == {"name": "labels-qrels", "private": True}
+    lines = {"c.jsonl": '{"doc_id":"d","text":"x"}', "tq.jsonl": '{"query_id":"q","text":"a"}', "tr.tsv": "q\t0\td\t1", "dq.jsonl": '{"query_id":"p","text":"b"}', "dr.tsv": "p\t0\td\t0"}
+    made = {n: write(tmp_path / "in" / n, text + "\n") for n, text in lines.items()}
+    main(["splits", "--corpus", made["c.jsonl"], "--train-queries", made["tq.jsonl"], "--train-qrels", made["tr.tsv"], "--dev-queries", made["dq.jsonl"], "--dev-qrels", made["dr.tsv"], "--out", str(tmp_path / "ms")])
+    main(["tables", "--folder", str(tmp_path / "ms"), "--out", str(tmp_path / "ms-tables"), "--publish-to", str(tmp_path / "box"), "--repo-id", "ms"])
+    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "box/ms/qrels")).collect()} == {("q", 0, "d", 1, "train"), ("p", 0, "d", 0, "dev")}
     named = spark.createDataFrame([("x", "a"), ("y", "b")], schemas.CORPUS)
     assert [tuple(r) for r in numbered(named).orderBy("doc_pos").collect()] == [(0, "x", "a"), (1, "y", "b")]
 
@@ -216,5 +255,34 @@ def test_files(tmp_path):
     assert not files.file_exists(write(tmp_path / "empty", "")) and files.ensure_dir(str(tmp_path / "c/d")).is_dir()
 
 
+def test_rows_are_numbered_in_order(spark, tmp_path):
+    frame = spark.range(1000, numPartitions=7).selectExpr("id * 3 as x")
+    assert [tuple(r) for r in session.row_numbers(frame, "n").orderBy("n").collect()] == [(3 * i, i) for i in range(1000)]
+    assert session.row_numbers(frame.where("x < 0"), "n").count() == 0
+    # files in the order of their names, whatever their sizes; blank lines count
+    write(tmp_path / "q/a.jsonl", '{"query":"one"}\n\n')
+    write(tmp_path / "q/b.jsonl", "".join('{"query":"more"}\n' for _ in range(50)))
+    got = readers.raw_queries(spark, str(tmp_path / "q")).orderBy("query_id").collect()
+    assert [(r.query_id, r.text) for r in got] == [("q000000", "one"), *((f"q{i:06d}", "more") for i in range(2, 52))]
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    class Nothing:
+        def __getattr__(self, name):
+            return lambda *a: Nothing() if name not in ("isDefined", "get") else None
+
+    class Context(Nothing):
+        master, _jsc = "spark://there:7077", Nothing()
+
+    class Session(Nothing):
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+    with pytest.raises(RuntimeError):
+        session.scratch_root(Session())
+
+
 def test_session(spark):
     assert session.build().conf.get("spark.sql.session.timeZone") == "UTC"
