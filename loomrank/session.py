@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 
 def build(app: str = "loomrank", master: str | None = None, **conf: str) -> SparkSession:
-    """A session in UTC with adaptive execution; further settings as keyword arguments with __ for dots."""
+    """A session in UTC with adaptive execution and Arrow batches for whole texts; further settings as keyword arguments with
+    __ for dots."""
     builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true")
+    builder = builder.config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
