@@ -25,7 +25,8 @@ MULT2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
 def bound_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Lower the session's Arrow batches to so many rows (a batch of whole texts is held twice, in Spark and in Python), and
-    let Python workers find this package."""
+    let Python workers find this package. The setting is read when a plan runs, which is after the operator has returned, so
+    it stays; a session that has set its own bound, as `session.build` does, keeps it."""
     share_code(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:

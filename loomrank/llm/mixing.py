@@ -7,9 +7,10 @@ probabilities that lie at or below it. A rate above `MOST_RATE`, where exp(-rate
 into several draws with seeds of their own, whose sum has the same distribution. Copies are exploded and the whole is put
 in the order of a second hash.
 
-The table of sources is aggregated map-side first, written, and counted: up to `MOST_SOURCES` it is broadcast, so that texts
-are not dealt by source at all; above that both sides are shuffled and a hot source is split by adaptive execution. Copies of one document have different hash keys, so
-the global shuffle is even whatever the sources.
+The table of sources is aggregated map-side first, written, and measured: up to `MOST_BROADCAST_BYTES`, its cumulative
+probabilities included, it is broadcast, so that texts are not dealt by source at all; above that both sides are shuffled
+and a hot source is split by adaptive execution. Copies of one document have different hash keys, so the global shuffle is
+even whatever the sources.
 
 Defined results: a null source is a source of its own; a null text has 0 characters (a source of none but such texts gets
 rate 1); a source without a weight gets rate 0 when `weights` is given; a null doc_id draws the number of the string
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 
 from loomrank.session import written
 
-#: Sources whose rates are broadcast; the table of one takes some hundreds of bytes.
-MOST_SOURCES = 50_000
+#: The table of rates is broadcast up to this size; a source takes some hundreds of bytes, at high rates up to 6 KB.
+MOST_BROADCAST_BYTES = 64 << 20
 #: Mean of a single draw at most.
 MOST_RATE = 500
 #: Uniform numbers are multiples of 2 ** -52, read from 13 hex digits of an MD5 digest.
@@ -76,7 +77,8 @@ def mix(docs: DataFrame, rates: DataFrame, seed: str = "mix") -> DataFrame:
     two names in the input are replaced."""
     docs = docs.drop("copy_no", "mix_key")
     r = written(rates.select(F.col("source").alias("_s"), F.col("draws").alias("_draws"), F.col("cdf").alias("_cdf")), "rates")
-    if r.count() <= MOST_SOURCES:
+    held = r.agg(F.sum(F.lit(64) + F.coalesce(F.octet_length("_s"), F.lit(0)) + 8 * F.size("_cdf"))).first()[0] or 0
+    if held <= MOST_BROADCAST_BYTES:
         r = F.broadcast(r)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("_id"), F.col("source").alias("_source"))
     n = F.size(F.filter("_cdf", lambda c: c <= uniform(F.col("_id"), seed)))
@@ -94,23 +96,22 @@ def op9_mixing(spark, sf_dir: str) -> DataFrame:
     return mix(docs, source_rates(docs)).select("doc_id", "source", "copy_no", "mix_key", F.length("text").cast("long").alias("chars"), "text")
 
 
-#: The same by DuckDB. The running product of terms is written as a sum of logarithms only where that is exact to rounding;
-#: here the terms are folded in the same order as above.
-SQL = """
+#: The same by DuckDB, each term from its logarithm; as many terms and draws as the rates ask for.
+SQL = f"""
 WITH sizes AS (SELECT source, CAST(sum(coalesce(length(text), 0)) AS DOUBLE) AS chars FROM documents GROUP BY source),
 w AS (SELECT source, chars, pow(chars, 0.5e0) AS weight FROM sizes),
 s AS (SELECT sum(chars) AS all_chars, sum(weight) AS all_weight FROM w),
-r AS (SELECT source, CASE WHEN chars > 0 THEN weight / all_weight * all_chars / chars ELSE 1e0 END AS rate FROM w, s),
-t AS (SELECT source, rate, k, exp(-rate) * pow(rate, k) / CAST(factorial(CAST(k AS INTEGER)) AS DOUBLE) AS p
-      FROM r, range(0, 33) AS g(k)),
+e AS (SELECT source, CASE WHEN chars > 0 THEN weight / all_weight * all_chars / chars ELSE 1e0 END AS rate FROM w, s),
+r AS (SELECT source, CAST(greatest(1, ceil(rate / {MOST_RATE})) AS INTEGER) AS draws, rate / greatest(1, ceil(rate / {MOST_RATE})) AS mean FROM e),
+t AS (SELECT source, k, exp(k * ln(mean) - mean - CASE WHEN k = 0 THEN 0 ELSE lgamma(k + 1) END) AS p
+      FROM r, range(0, {MOST_RATE + 10 * 23 + 11}) AS g(k) WHERE k <= ceil(mean + 10 * sqrt(mean) + 10)),
 c AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS cdf FROM t),
-d AS (SELECT doc_id, source, text,
-             CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496e0 AS u
-      FROM documents),
-n AS (SELECT d.doc_id, d.source, d.text, count(*) AS n FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source
-      WHERE c.cdf <= d.u GROUP BY d.doc_id, d.source, d.text)
+d AS (SELECT row_number() OVER () AS id, doc_id, source, text, coalesce(CAST(doc_id AS VARCHAR), 'null') AS name FROM documents),
+i AS (SELECT d.id, d.source, d.name, unnest(range(0, draws)) AS draw FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
+u AS (SELECT id, source, CAST(CAST('0x' || substr(md5('mix' || CASE WHEN draw > 0 THEN '+' || draw ELSE '' END || ':' || name), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496e0 AS u FROM i),
+n AS (SELECT u.id, count(*) AS n FROM u JOIN c ON u.source IS NOT DISTINCT FROM c.source WHERE c.cdf <= u.u GROUP BY u.id)
 SELECT doc_id, source, CAST(copy_no AS INTEGER) AS copy_no,
-       CAST('0x' || substr(md5('mix-order:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || CAST(copy_no AS VARCHAR)), 1, 15) AS BIGINT) AS mix_key,
+       CAST('0x' || substr(md5('mix-order:' || name || ':' || CAST(copy_no AS VARCHAR)), 1, 15) AS BIGINT) AS mix_key,
        CAST(length(text) AS BIGINT) AS chars, text
-FROM (SELECT doc_id, source, text, unnest(range(1, n + 1)) AS copy_no FROM n)
+FROM (SELECT d.*, unnest(range(1, n + 1)) AS copy_no FROM d JOIN n ON d.id = n.id)
 """

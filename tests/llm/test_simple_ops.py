@@ -293,6 +293,19 @@ def test_mixing_of_a_tiny_source(spark):
     assert abs(out.where("source = 'odd'").count() - 1999) < 250 and out.where("doc_id = 0").select("copy_no").distinct().count() > 1700
 
 
+def test_mixing_sql_follows_high_rates(spark, tmp_path):
+    """Rates below one, of several hundred and of several draws, repeated rows and null sources: the same as the SQL."""
+    rows = [(i, "main", "y" * 40_000) for i in range(300)] + [(1000 + i, "small", "abc") for i in range(5)] + [(2000, "odd", "x"), (2000, "odd", "x"), (None, "odd", "z"), (3000, None, "null source " * 9), (3001, "empty", None)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    names = "doc_id, source, copy_no, mix_key, chars"
+    expected = con.sql(mixing.SQL).project(names).fetchall()
+    got = mixing.op9_mixing(spark, str(tmp_path)).select(*names.split(", ")).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+    assert sum(r[1] == "odd" for r in expected) > 2 * 500
+
+
 def test_mixing_runs_no_python(spark, sf):
     plan = mixing.op9_mixing(spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
