@@ -24,7 +24,8 @@ found by star rounds.
 
 Defined results: a text without words has fingerprint zero and is linked like any other; fewer words than a shingle has
 are one shingle. Rows of one doc_id are one node. Rows with a null doc_id get a fingerprint, belong to the component of
-the documents with that same fingerprint (null if there are none), and never name one. Extra columns are left out.
+the documents with that same fingerprint (and, where links are verified, the same words; null if there are none), and
+never name one; an empty table gives no rows. Extra columns are left out.
 """
 
 from __future__ import annotations
@@ -80,13 +81,19 @@ def fingerprint(text: bytes | None, width: int, bits: int) -> list[int]:
     return out
 
 
-def fingerprints(docs: DataFrame, width: int, bits: int) -> DataFrame:
-    """(doc_id, f0[, f1]) for each row of docs(doc_id, text)."""
-    names = [f"f{i}" for i in range(bits // 64)]
+def words_hash(text: bytes | None) -> int:
+    """A hash of the words, as a signed number; texts of equal words have all their shingles in common."""
+    return np.uint64(xxhash.xxh64_intdigest(b" ".join(text.lower().split()) if text else b"", SEED)).view(np.int64)
+
+
+def fingerprints(docs: DataFrame, width: int, bits: int, hashed: bool = False) -> DataFrame:
+    """(doc_id, f0[, f1]) for each row of docs(doc_id, text). hashed: with h, a hash of the words."""
+    names = [f"f{i}" for i in range(bits // 64)] + ["h"] * hashed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
-            found = np.array([fingerprint(t, width, bits) for t in as_bytes(part.column(1))], dtype=np.int64).reshape(-1, len(names))
+            rows = [fingerprint(t, width, bits) + ([words_hash(t)] if hashed else []) for t in as_bytes(part.column(1))]
+            found = np.array(rows, dtype=np.int64).reshape(-1, len(names))
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(found[:, i]) for i in range(len(names)))], names=["doc_id", *names])
         give_back()
 
@@ -381,13 +388,19 @@ def missed_links(links: DataFrame, parts: DataFrame, sets: DataFrame, least: flo
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 128, most: int = 28, least: float | None = 0.8, bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, f0[, f1], component_id) for each row of docs(doc_id, text). least: the similarity to verify links by, None to
-    go by fingerprints alone; documents of equal fingerprints are linked in either case."""
+    """(doc_id, f0[, f1], component_id) for each row of docs(doc_id, text). least: the similarity to verify links by, those of
+    equal fingerprints and different words as well; None to go by fingerprints alone."""
     names = [f"f{i}" for i in range(bits // 64)]
-    prints = written(fingerprints(docs, width, bits), "fingerprints")
-    nodes = written(prints.groupBy(*names).agg(F.min("doc_id").alias("id")), "nodes")
-    links = near_links(nodes.where("id IS NOT NULL"), bits, most, bucket)
+    key = names if least is None else [*names, "h"]
+    prints = written(fingerprints(docs, width, bits, least is not None), "fingerprints")
+    nodes = written(prints.groupBy(*key).agg(F.min("doc_id").alias("id")), "nodes")
+    heads = nodes.where("id IS NOT NULL")
+    if least is not None:
+        heads = written(heads.groupBy(*names).agg(F.min("id").alias("id")), "heads")
+    links = near_links(heads, bits, most, bucket)
     if least is not None:
+        alike = nodes.join(heads.select(*names, F.col("id").alias("head")), names).select(F.col("head").alias("a"), F.col("id").alias("b"))
+        links = links.select("a", "b").union(alike)
         pair = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pair = written(pair, "found-links")
         sets = shingle_sets(pair, docs, width)
@@ -398,8 +411,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 128, most: int
         more = connected_components(missed_links(pair, parts, sets, least)).select(F.col("node").alias("label"), F.col("component").alias("joined"))
         every = sets.select(F.col("doc_id").alias("node")).join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("label"))
         parts = every.join(more, "label", "left").select("node", F.coalesce("joined", "label").alias("component"))
-    named = nodes.join(parts, nodes["id"] == parts["node"], "left").select(*names, F.coalesce("component", "id").alias("component_id"))
-    return prints.join(named, names).select("doc_id", *names, "component_id")
+    named = nodes.join(parts, nodes["id"] == parts["node"], "left").select(*key, F.coalesce("component", "id").alias("component_id"))
+    return prints.join(named, key).select("doc_id", *names, "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:

@@ -132,3 +132,19 @@ def test_near_copies_are_found_and_others_stay(spark, awkward, no_docs):
     assert left.columns == awkward.columns
     ids = [r.doc_id for r in left.collect()]
     assert ids.count(11) == 1 and 12 not in ids and ids.count(None) == 2 and ids.count(1) == 1 and 2 not in ids
+
+
+def test_equal_fingerprints_are_verified(spark):
+    """Texts in which one phrase outweighs all else have equal fingerprints; they are groups only where their words agree."""
+    rng = np.random.default_rng(8)
+    phrase = "one two three four five " * 500
+
+    def tail():
+        return " ".join(f"t{x}" for x in rng.integers(0, 100_000, 60))
+
+    own = [tail() for _ in range(6)]
+    rows = [(i, phrase + t) for i, t in enumerate(own)] + [(10, phrase.upper() + "\n" + own[2]), (11, phrase + own[2] + " more"), (None, phrase + own[4])]
+    found = {r.doc_id: r for r in sd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len({(found[i].f0, found[i].f1) for i in range(6)}) == 1
+    assert {i: found[i].component_id for i in (*range(6), 10, 11)} == {**{i: i for i in range(6)}, 10: 2, 11: 2}
+    assert found[None].component_id == 4
