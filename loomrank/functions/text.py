@@ -5,7 +5,8 @@ White space is what Python's str.isspace() calls so, spelled as an explicit clas
 
 from __future__ import annotations
 
-import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,8 +50,8 @@ def alpha_ratio(text: Column) -> Column:
 
 
 def has_boilerplate(text: Column) -> Column:
-    """One pass over the lowered text: a chain of contains() would lower it once for each phrase."""
-    return F.rlike(F.lower(text), F.lit("|".join(re.escape(p) for p in BOILERPLATE)))
+    """The text is lowered once, as the one element of an array, and looked through for each phrase."""
+    return F.exists(F.array(F.lower(text)), lambda low: reduce(or_, (F.contains(low, F.lit(p)) for p in BOILERPLATE)))
 
 
 def dedup_key(text: Column, chars: int = 200) -> Column:

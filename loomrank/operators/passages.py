@@ -69,9 +69,11 @@ def reject_reason(text: Column, rule: Chunking = DEFAULT) -> Column:
     )
 
 
-def good(passages: DataFrame, rule: Chunking = DEFAULT) -> DataFrame:
+def good(passages: DataFrame, rule: Chunking = DEFAULT, counted: bool = False) -> DataFrame:
+    """counted: the passages come from `chunked` with this rule, which makes none of fewer words."""
     text = F.col("text")
-    return passages.where((tx.word_count(text) >= rule.least_words) & (tx.alpha_ratio(text) >= F.lit(rule.least_alpha)) & ~tx.has_boilerplate(text))
+    clean = (tx.alpha_ratio(text) >= F.lit(rule.least_alpha)) & ~tx.has_boilerplate(text)
+    return passages.where(clean if counted else (tx.word_count(text) >= rule.least_words) & clean)
 
 
 def first_copies(passages: DataFrame, rule: Chunking = DEFAULT) -> DataFrame:
@@ -84,7 +86,7 @@ def first_copies(passages: DataFrame, rule: Chunking = DEFAULT) -> DataFrame:
 
 def passages_of(docs: DataFrame, rule: Chunking = DEFAULT) -> DataFrame:
     """The whole chain; the quality filter comes before dedup."""
-    return first_copies(good(chunked(long_enough(docs, rule), rule), rule), rule)
+    return first_copies(good(chunked(long_enough(docs, rule), rule), rule, counted=True), rule)
 
 
 def removal_counts(docs: DataFrame, rule: Chunking = DEFAULT) -> DataFrame:

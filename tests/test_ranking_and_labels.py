@@ -34,6 +34,43 @@ def test_bm25_by_hand(spark):
     assert {(r.query_id, r.doc_id) for r in index.search(queries, 1).collect()} == {("q1", "d0"), ("q2", "d3")}
 
 
+def test_only_hits_are_exchanged(spark, tmp_path):
+    """Nothing moves between the scan of the passages and the join with the queries' terms."""
+    bm25.tokenized(passages_of(spark, TEXTS * 50)).write.parquet(str(tmp_path / "tokens"))
+    index = bm25.Index(spark.read.parquet(str(tmp_path / "tokens")), bm25.DEFAULT)
+    queries = spark.createDataFrame([("q1", "red apple"), ("q2", "sky")], "query_id string, text string")
+    plan = index.scored(queries)._jdf.queryExecution().executedPlan().toString()
+    assert "explode(counts" in plan
+    deepest = plan[plan.index("explode(counts") :]
+    assert "Exchange" not in deepest[: deepest.index("FileScan")]
+
+
+def test_counts_of_terms(spark):
+    rows = bm25.tokenized(passages_of(spark, ["b a b, b c", "the of", "", None])).orderBy("doc_pos").select("counts", "dl", "norm2", "chars").collect()
+    assert [(c.term, c.tf) for c in rows[0].counts] == []  # single letters are no terms
+    rows = bm25.tokenized(passages_of(spark, ["bb aa bb, bb cc", "the of"])).orderBy("doc_pos").select("counts", "dl", "norm2", "chars").collect()
+    assert [(c.term, c.tf) for c in rows[0].counts] == [("aa", 1), ("bb", 3), ("cc", 1)] and (rows[0].dl, rows[0].norm2, rows[0].chars) == (5, 11, 15)
+    assert (rows[1].counts, rows[1].dl, rows[1].norm2) == ([], 0, 0)
+
+
+def test_a_frequent_term_is_cut(spark, tmp_path):
+    """The postings of a term that every passage has lie in several files of a stored index."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = bm25.Index.build(passages_of(spark, [f"common word{i}" for i in range(2000)]), str(tmp_path / "index"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = index.postings.where("term = 'common'").select(F.input_file_name().alias("file")).groupBy("file").count().collect()
+    assert len(files) > 2 and sum(r["count"] for r in files) == 2000
+
+
+def test_broadcasts_are_checked_by_bytes(spark):
+    wide = spark.range(100).selectExpr("id", "repeat('x', 10000) as text", "array(1.0D, 2.0D) as v", "array(struct(id, 'abc' as s)) as w")
+    few = lambda **most: bm25.checked(wide, **most)[1] is F.broadcast
+    assert few() and not few(most=99) and not few(most_bytes=900_000) and few(most_bytes=1_100_000)
+    assert bm25.checked(wide.where("id < 0"), most_bytes=0)[1] is F.broadcast
+
+
 def test_stemmer(spark):
     class Cut:
         name = "cut"
