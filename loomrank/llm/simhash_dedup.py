@@ -13,7 +13,7 @@ is lost, with some 36 keys of 36 bits for a fingerprint.
 
 `wide` keys, for 128 bits and larger radii: pairs of codewords of the segments of each half, and of like segments of both,
 all codewords within 4 bits on both sides, some 255 keys. A pair within the radius is met with a probability: by
-measurement 0.998 at a Jaccard similarity of 0.9 or more of five-word shingles, 0.98 from 0.82 on, 0.94 at 0.8. There the
+measurement 0.998 at a Jaccard similarity of 0.9 or more of five-word shingles, 0.97 from 0.82 on, 0.94 at 0.8. There the
 radius is set wide (28 bits, a similarity of about 0.68) and every link found is verified: the shingle sets of both texts are compared, and links below `least` go. The forest
 of a component that falls apart by that says nothing of its other pairs, so those are all compared (`missed_links`).
 
