@@ -205,7 +205,7 @@ SQL |= {
         CASE WHEN cand_pos % 3 = 0 THEN cand_pos % 2 = 0 ELSE answerable END AS answerable, CASE WHEN cand_pos % 3 = 0 THEN 'cache' ELSE source END AS source FROM judged""", "judged"),
     "judged_without_prefilter": of("SELECT query_id, doc_id, CASE WHEN ce_score >= 0.5e0 THEN 3 ELSE 0 END AS relevance_score, 'judge' AS source FROM cand", "cand"),
     "run_remaining": of("SELECT query_id, text FROM queries WHERE CAST(substr(query_id, 2) AS INTEGER) % 3 = 2", "queries"),
-    "run_finished_only": of(f"SELECT query_id, doc_id, relevance_score, CAST(1 AS BIGINT) AS next_batch FROM syn WHERE {POSITIVE} AND batch_id = 0", "syn"),
+    "run_finished_only": of(f"SELECT query_id, doc_id, relevance_score, CAST(2 AS BIGINT) AS next_batch FROM syn WHERE {POSITIVE} AND batch_id = 0", "syn"),
     "run_cache": of(f"""SELECT * FROM ({SYN_CACHE}) WHERE batch_id = 0
         UNION ALL SELECT substr(md5(query), 1, 16), doc_id, CASE WHEN relevance_score > 1 THEN 3 ELSE 0 END, relevance_score > 1, 'j', batch_id FROM syn WHERE batch_id = 2 AND relevance_score <> 1""", "syn"),
     "run_of_nothing": "SELECT name, CAST(0 AS BIGINT) AS n FROM (VALUES ('qrels'), ('triples'), ('cache'), ('processed'), ('next')) AS t(name)",

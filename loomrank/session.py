@@ -61,7 +61,9 @@ def remove_scratch(spark: SparkSession) -> bool:
 def row_numbers(df: DataFrame, name: str, *order: str) -> DataFrame:
     """df with `name`, numbers from 0 without a gap, in the order of the columns `order` (of whole partitions or splits), then
     of partitions, then of rows. A row for each partition meets in one task; the rows don't move."""
-    numbered = settled(df).withColumn("_row", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_row", 33))
+    numbered = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_row", 33))
+    if moves_rows(df):  # a task that is run again may get its rows in another order: keep the numbers
+        numbered = written(numbered, "numbered")
     by = [*order, "_part"]
     parts = numbered.groupBy(*by).agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
     ahead = F.sum("_n").over(Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1))

@@ -22,6 +22,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it isn't there."""
+    if not exists(spark, path):
+        return []
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [x.getPath().getName() for x in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)]
+
+
 def table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """A Parquet table; lazy."""
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)

@@ -79,8 +79,11 @@ class Run:
         return queries.join(self.processed(), "query_id", "left_anti")
 
     def next_batch(self) -> int:
-        known = [self._table(n, s).agg(F.max("batch_id")).first()[0] for n, s in (("processed", schemas.PROCESSED), ("judged", JUDGED), ("answers", ANSWERS))]
-        return max([-1, *(k for k in known if k is not None)]) + 1
+        """One more than the largest number that any table has a folder of, be it without rows or without an end."""
+        found = [-1]
+        for name in ("processed", "judged", "answers", "qrels", "triples", "cache"):
+            found += [int(x.removeprefix("batch_id=")) for x in readers.folders(self.spark, f"{self.path}/{name}") if x.startswith("batch_id=")]
+        return max(found) + 1
 
     def batch(self, queries: DataFrame) -> int:
         """Label the queries that are not processed yet; the number of the batch."""

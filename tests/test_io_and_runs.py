@@ -149,7 +149,9 @@ def test_run_resumes_and_repeats_nothing(spark, small_world, tmp_path):
     assert stats.queries_processed == queries.count() and stats.positives_found == len(expected)
     assert run.cache().count() > 0
     # a batch that was cut off before its end does not count
-    run._put("qrels", spark.createDataFrame([("lost", 0, "d", 3)], schemas.QRELS), run.next_batch())
+    number = run.next_batch()
+    run._put("qrels", spark.createDataFrame([("lost", 0, "d", 3)], schemas.QRELS), number)
+    assert run.next_batch() == number + 1
     assert run.qrels().where("query_id = 'lost'").count() == 0
     run.clear_cache()
     assert run.cache().count() == 0 and run.processed().count() > 0
@@ -258,6 +260,7 @@ def test_files(tmp_path):
 def test_rows_are_numbered_in_order(spark, tmp_path):
     frame = spark.range(1000, numPartitions=7).selectExpr("id * 3 as x")
     assert [tuple(r) for r in session.row_numbers(frame, "n").orderBy("n").collect()] == [(3 * i, i) for i in range(1000)]
+    assert [tuple(r) for r in session.row_numbers(frame.orderBy(F.desc("x")), "n").orderBy("n").collect()] == [(3 * (999 - i), i) for i in range(1000)]
     assert session.row_numbers(frame.where("x < 0"), "n").count() == 0
     # files in the order of their names, whatever their sizes; blank lines count
     write(tmp_path / "q/a.jsonl", '{"query":"one"}\n\n')
