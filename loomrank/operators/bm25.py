@@ -62,27 +62,18 @@ DEFAULT = Bm25()
 
 
 PASSAGE = ["doc_pos", "chunk_idx"]
-COUNTS = "array<struct<term:string,tf:bigint>>"
 
 
 def tokenized(passages: DataFrame, rule: Bm25 = DEFAULT) -> DataFrame:
-    """Passages with `counts`, their terms in order with the number of each, their length dl in terms and in chars, and norm2,
-    the sum of squared term counts. A passage is one row, so its terms are counted in the row: one fold over sorted terms."""
-    none = F.array().cast(COUNTS)
-    start = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).cast("long").alias("run"), none.alias("out"))
-
-    def closed(acc: Column) -> Column:
-        return F.when(acc.run > 0, F.concat(acc.out, F.array(F.struct(acc["last"].alias("term"), acc.run.alias("tf"))))).otherwise(acc.out)
+    """Passages with their terms, length in terms and in chars, and norm2, the sum of squared term counts."""
+    start = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).cast("long").alias("sum"))
 
     def step(acc: Column, term: Column) -> Column:
-        same = acc["last"].eqNullSafe(term)
-        run = F.when(same, acc.run + 1).otherwise(F.lit(1).cast("long"))
-        return F.struct(term.alias("last"), run.alias("run"), F.when(same, acc.out).otherwise(closed(acc)).cast(COUNTS).alias("out"))
+        run = F.when(acc.last == term, acc.run + 1).otherwise(F.lit(1))
+        return F.struct(term.alias("last"), run.alias("run"), (acc["sum"] + (2 * run - 1)).alias("sum"))
 
-    terms = passages.withColumn("_terms", rule.terms(F.col("text")))
-    counted = terms.withColumn("counts", F.aggregate(F.array_sort("_terms"), start, step, lambda acc: closed(acc).cast(COUNTS)))
-    norm2 = F.aggregate("counts", F.lit(0).cast("long"), lambda sum_, c: sum_ + c.tf * c.tf)
-    return counted.select(*passages.columns, "counts", F.size("_terms").alias("dl"), F.length("text").alias("chars"), norm2.alias("norm2"))
+    norm2 = F.aggregate(F.array_sort("terms"), start, step, lambda acc: acc["sum"])
+    return passages.withColumn("terms", rule.terms(F.col("text"))).withColumn("dl", F.size("terms")).withColumn("chars", F.length("text")).withColumn("norm2", norm2)
 
 
 def corpus_stats(tokens: DataFrame) -> DataFrame:
@@ -91,14 +82,17 @@ def corpus_stats(tokens: DataFrame) -> DataFrame:
 
 
 def postings(tokens: DataFrame, only: DataFrame | None = None) -> DataFrame:
-    """(term, doc_pos, chunk_idx, dl, tf); only(term): a small set of terms to keep. Nothing is shuffled."""
-    each = tokens.select(*PASSAGE, "dl", F.explode("counts").alias("c")).select("c.term", *PASSAGE, "dl", "c.tf")
-    return each if only is None else each.join(only, "term", "left_semi")
+    """(term, doc_pos, chunk_idx, dl, tf); only(term): a small set of terms to keep, met before anything moves. What is left is
+    dealt by passage, so that counting terms here and summing over a passage later need no other exchange."""
+    each = tokens.select(*PASSAGE, "dl", F.explode("terms").alias("term"))
+    if only is not None:
+        each = each.join(only, "term", "left_semi").repartition(*PASSAGE)
+    return each.groupBy("term", *PASSAGE, "dl").agg(F.count("*").alias("tf"))
 
 
 def term_df(tokens: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """(term, df), summed in each task before anything moves."""
-    each = tokens.select(F.explode("counts.term").alias("term"))
+    each = tokens.select(F.explode(F.array_distinct("terms")).alias("term"))
     if only is not None:
         each = each.join(only, "term", "left_semi")
     return each.groupBy("term").agg(F.count("*").alias("df"))
@@ -145,7 +139,7 @@ def small(df: DataFrame, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
 
 
 class Index:
-    """An inverted index: passages with their terms' counts, corpus statistics, and postings.
+    """An inverted index: passages with their terms, corpus statistics, and postings.
 
     A `stored` index reads postings and document frequencies from tables sorted by term; one made `over` passages draws the
     postings of the terms asked for from the passages' terms, in one pass for each set of queries.
@@ -167,6 +161,10 @@ class Index:
     def term_df(self) -> DataFrame:
         return term_df(self.tokens) if self._dfs is None else self._dfs
 
+    def postings_of(self, terms: DataFrame) -> DataFrame:
+        """Postings of terms(term), a small table."""
+        return postings(self.tokens, terms) if self._post is None else self._post.join(terms, "term", "left_semi")
+
     def df_of(self, terms: DataFrame) -> DataFrame:
         """(term, df) of terms(term)."""
         return term_df(self.tokens, terms) if self._dfs is None else self._dfs.join(terms, "term", "left_semi")
@@ -210,8 +208,7 @@ class Index:
 
     def scored(self, queries: DataFrame) -> DataFrame:
         """(query_id, doc_pos, chunk_idx, bm25_score, matched, shared): all hits. matched: sum of query counts times passage
-        counts of common terms; shared: sum of idf of the distinct common terms. Only hits reach the exchange, summed in
-        each task before."""
+        counts of common terms; shared: sum of idf of the distinct common terms. Only terms of the queries are exchanged."""
         asked, few = checked(query_terms(queries, self.rule))
         only = few(asked.select("term").distinct())
         weights = few(asked).join(self.df_of(only), "term").crossJoin(F.broadcast(self.stats))  # stats is one row
@@ -219,7 +216,7 @@ class Index:
         tf, dl = F.col("tf"), F.col("dl")
         k1, b = F.lit(float(self.rule.k1)), F.lit(float(self.rule.b))
         weight = F.col("qtf") * F.col("idf") * tf / (tf + k1 * (F.lit(1.0) - b + b * dl / F.col("avgdl")))
-        joined = self.postings.join(weights, "term")
+        joined = self.postings_of(only).join(weights, "term")
         sums = joined.groupBy("query_id", "doc_pos", "chunk_idx").agg(F.sum(weight).alias("bm25_score"), F.sum(F.col("qtf") * tf).alias("matched"), F.sum("idf").alias("shared"))
         return sums.withColumn("bm25_score", F.round("bm25_score", 6))
 
