@@ -10,7 +10,9 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,10 +111,13 @@ def term_cosine_top(hits: DataFrame, index: bm25.Index, queries: DataFrame, k: i
 
 def query_weight(index: bm25.Index, queries: DataFrame) -> DataFrame:
     """(query_id, weight): sum of idf over the distinct terms of each query, known to the corpus or not."""
-    asked, few = bm25.checked(bm25.query_terms(queries, index.rule))
-    only = few(asked.select("term").distinct())
-    terms = few(asked).join(index.df_of(only), "term", "left").crossJoin(F.broadcast(index.stats))  # one row
-    return few(terms.groupBy("query_id").agg(F.sum(bm25.idf(F.col("n_docs"), F.coalesce("df", F.lit(0)))).alias("weight")))
+    known = index.asked(queries)
+    if known is not None:
+        weight = np.bincount(known.query, index.idfs(known.terms)[known.term], len(known.ids))
+        return F.broadcast(queries.sparkSession.createDataFrame(pa.table({"query_id": known.ids, "weight": weight})))
+    asked = bm25.query_terms(queries, index.rule)
+    terms = asked.join(index.df_of(asked.select("term").distinct()), "term", "left").crossJoin(F.broadcast(index.stats))  # one row
+    return terms.groupBy("query_id").agg(F.sum(bm25.idf(F.col("n_docs"), F.coalesce("df", F.lit(0)))).alias("weight"))
 
 
 def coverage_top(dense: DataFrame, index: bm25.Index, queries: DataFrame, k: int = 40) -> DataFrame:

@@ -43,20 +43,22 @@ class Cascade:
 
 
 def with_passages(hits: DataFrame, index: bm25.Index, *columns: str) -> DataFrame:
-    """hits with columns of their passages. The hits are the small side, but nothing bounds them: Spark chooses."""
+    """hits with columns of their passages. The hits are the small side: `Index.few` gives the hint where it bounds them."""
     return hits.join(index.tokens.select(*ranking.PASSAGE, *columns), ranking.PASSAGE)
 
 
 def lexical(index: bm25.Index, queries: DataFrame, k: int) -> DataFrame:
     """BM25 hits with their texts."""
-    return with_passages(index.top(queries, k), index, "doc_id", "text")
+    return with_passages(index.few(queries, k)(index.top(queries, k)), index, "doc_id", "text")
 
 
 def dense(index: bm25.Index, queries: DataFrame, plan: Cascade) -> DataFrame:
-    hits = with_passages(index.top(queries, plan.bm25_k), index, "doc_id", "chars", "norm2")
+    few = index.few(queries, plan.bm25_k)
+    hits = with_passages(few(index.top(queries, plan.bm25_k)), index, "doc_id", "chars", "terms")
+    hits = hits.withColumn("norm2", bm25.norm2(F.col("terms"))).drop("terms")
     if plan.embedder is None:
         return ranking.term_cosine_top(hits, index, queries, plan.dense_k)
-    asked = with_passages(hits.select(*ranking.PASSAGE).distinct(), index, "text")
+    asked = with_passages(few(hits.select(*ranking.PASSAGE).distinct()), index, "text")
     texts = ranking.embedded(asked, plan.embedder).select(*ranking.PASSAGE, "embedding")
     rows = hits.join(texts, ranking.PASSAGE).withColumn("length", F.col("chars"))
     return ranking.vector_top(ranking.embedded_queries(queries, plan.embedder), rows, plan.dense_k)
@@ -66,13 +68,14 @@ def paired(index: bm25.Index, queries: DataFrame, plan: Cascade) -> DataFrame:
     rows = dense(index, queries, plan)
     if plan.scorer is None:
         return ranking.coverage_top(rows, index, queries, plan.pair_k)
-    pairs = with_passages(rows, index, "text").join(queries.select("query_id", F.col("text").alias("query")), "query_id")
+    pairs = with_passages(index.few(queries, plan.dense_k)(rows), index, "text").join(queries.select("query_id", F.col("text").alias("query")), "query_id")
     return ranking.ranked(ranking.pair_scored(pairs, plan.scorer).drop("query", "text"), "ce_rank", F.desc("ce_score"), "dense_rank", k=plan.pair_k)
 
 
 def candidates(index: bm25.Index, queries: DataFrame, plan: Cascade) -> DataFrame:
     """(query_id, query, doc_id, text, bm25_rank, dense_rank, ce_rank, ce_score, cand_pos): what is judged."""
-    chosen = with_passages(ranking.banded_sample(paired(index, queries, plan), seed=plan.seed), index, "text")
+    sample = ranking.banded_sample(paired(index, queries, plan), seed=plan.seed)
+    chosen = with_passages(index.few(queries, plan.pair_k)(sample), index, "text")
     named = chosen.join(bm25.small(queries.select("query_id", F.col("text").alias("query"))), "query_id")
     return named.select("query_id", "query", "doc_id", "text", "bm25_rank", "dense_rank", "ce_rank", "ce_score", "cand_pos")
 

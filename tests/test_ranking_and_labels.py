@@ -252,3 +252,40 @@ def test_mining(spark):
     negatives = mining.hard_negatives(judged).where("query_id = 'r'").orderBy("neg_pos").collect()
     assert [r.doc_id for r in negatives] == [f"n{i:02}" for i in range(10)]
     assert {(r.doc_id, r.relevance_score) for r in mining.qrels(judged).collect()} == {("p1", 2), ("p2", 3)}
+
+
+def test_top_keeps_few_rows_in_a_task(spark, tmp_path, monkeypatch):
+    """Hits are ranked inside the scan: no more than k rows of a query leave a task, and they are the best of all hits."""
+    from loomrank.operators import best
+
+    texts = [" ".join(f"t{(i * j) % 7}" for j in range(1, 2 + i % 9)) for i in range(600)] + ["t1"] * 50 + ["none", ""]
+    bm25.with_terms(passages_of(spark, texts)).repartition(3).write.parquet(str(tmp_path / "tokens"))
+    tokens = spark.read.parquet(str(tmp_path / "tokens"))
+    queries = spark.createDataFrame([(f"q{i}", " ".join(f"t{j}" for j in range(i))) for i in range(9)], "query_id string, text string")
+    monkeypatch.setattr(best, "CELLS", 64)
+    monkeypatch.setattr(best, "QUERY_BLOCK", 5)
+    fields = ["query_id", "doc_pos", "chunk_idx", "bm25_score", "matched"]
+    every = sorted((tuple(r) for r in bm25.Index(tokens, bm25.DEFAULT).scored(queries).select(*fields).collect()), key=lambda r: (r[0], -r[3], r[1], r[2]))
+    expected = [r for q in range(9) for r in [x for x in every if x[0] == f"q{q}"][:20]]
+    index = bm25.Index(tokens, bm25.DEFAULT)
+    got = index.top(queries, 20)
+    assert sorted((tuple(r) for r in got.select(*fields).collect()), key=lambda r: (r[0], -r[3], r[1], r[2])) == expected
+    asked = index.asked(queries)
+    kept = bm25.best_of(tokens, asked, index.idfs(asked.terms), 4.0, bm25.DEFAULT, 20, queries.schema["query_id"])
+    assert kept.count() <= tokens.rdd.getNumPartitions() * 20 * 9 < len(every)
+    monkeypatch.setattr(bm25, "MOST_BROADCAST_ROWS", 1)
+    many = bm25.Index(tokens, bm25.DEFAULT)
+    monkeypatch.setattr(bm25, "checked", lambda df: (df, lambda other: other))
+    assert many.asked(queries) is None
+    assert sorted((tuple(r) for r in many.top(queries, 20).select(*fields).collect()), key=lambda r: (r[0], -r[3], r[1], r[2])) == expected
+
+
+def test_hits_are_the_broadcast_side(spark, tmp_path):
+    """The passages' texts do not move: bounded hits are sent to them."""
+    from loomrank.plans import cascade
+
+    index = bm25.Index.build(passages_of(spark, TEXTS * 50), str(tmp_path / "index"))
+    queries = spark.createDataFrame([("q1", "red apple"), ("q2", "sky")], "query_id string, text string")
+    plan = cascade.candidates(index, queries, cascade.Cascade())._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "HashedRelationBroadcastMode" in plan
+    assert not cascade.candidates(index, queries.where("query_id = 'q3'"), cascade.Cascade()).collect()

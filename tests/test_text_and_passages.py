@@ -97,3 +97,20 @@ def test_quality_comes_before_dedup(spark):
 def test_empty_corpus(spark):
     assert passages.passages_of(docs_of(spark, []).where("false") if False else docs_of(spark, [None])).count() == 0
     assert passages.removal_counts(docs_of(spark, ["a privacy policy " * 10])).collect()[0].n == 1
+
+
+def test_windows_do_not_slice_all_words(spark):
+    """Windows of any size and stride are the words they cover; those of few blocks are not cut out of the whole array."""
+    words = [f"w{i}" if i % 3 else "é😀" for i in range(95)]
+    for size, stride in ((160, 80), (10, 5), (6, 4), (4, 4), (17, 3), (3, 5), (20, 1)):
+        rule = passages.Chunking(size=size, stride=stride, least_words=2)
+        made = passages.chunked(docs_of(spark, [" \t" + "  ".join(words[:n]) + "\n" for n in (1, 2, 10, 95)]), rule)
+        expected = [(d, k, " ".join(words[:n][k * stride : k * stride + size])) for d, n in enumerate((1, 2, 10, 95)) for k in range((n - 2) // stride + 1 if n > 1 else 0)]
+        assert [tuple(r) for r in made.select("doc_pos", "chunk_idx", "text").orderBy("doc_pos", "chunk_idx").collect()] == expected
+    plan = passages.chunked(docs_of(spark, ["a"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(" not in plan
+
+
+def test_length_of_stripped_texts(spark):
+    cases = [" " * 500 + "x" * 50, " " * 500 + "x" * 49 + " " * 500, "x" + " " * 300 + "y", "x" * 49, "x" * 50, ""]
+    assert values(spark, tx.stripped_at_least(F.col("t"), 50), *cases) == [True, False, True, False, True, False]
