@@ -8,17 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from loomrank.functions import vector
-from loomrank.operators import bm25
-from loomrank.session import share_code
+from loomrank.operators import best, bm25
+from loomrank.session import share_code, spread
 
 PASSAGE = bm25.PASSAGE
 
@@ -97,6 +100,73 @@ def vector_top(queries: DataFrame, candidates: DataFrame, k: int = 100) -> DataF
     return ranked(sims, "dense_rank", F.desc("sim"), "length", "bm25_rank", k=k)
 
 
+def matrix(vectors: pa.Array, wide: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, matrix) of the vectors of that width that hold no null."""
+    here = np.nonzero(pc.fill_null(pc.list_value_length(vectors), -1).to_numpy() == wide)[0]
+    flat = vectors.take(pa.array(here)).flatten()
+    if flat.null_count:
+        whole = ~flat.is_null().to_numpy(zero_copy_only=False).reshape(-1, wide).any(axis=1)
+        here, flat = here[whole], vectors.take(pa.array(here[whole])).flatten()
+    return here, flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(here), wide)
+
+
+def vector_search(queries: DataFrame, rows: DataFrame, k: int = 100) -> DataFrame:
+    """(query_id, sim, dense_rank, ...) from queries(query_id, embedding, skip) and rows(doc_id, embedding, length, bm25_rank,
+    ...): the k rows most like each query, of all rows but those whose doc_id is `skip`; order as in `vector_top`, vectors
+    that can't be compared last. All pairs are compared, as products of matrices inside the scan of the rows, and the best
+    kept there; if the queries are no small table, by a join."""
+    asked, few = bm25.checked(queries)
+    if few is not F.broadcast:
+        given = rows.join(queries.select("query_id", "skip"), ~F.col("doc_id").eqNullSafe(F.col("skip"))).drop("skip")
+        return vector_top(queries, given, k)
+    share_code(rows.sparkSession)
+    table = asked.toArrow().combine_chunks()
+    names = [c for c in rows.columns if c != "embedding"]
+    schema = StructType([queries.schema["query_id"], *(rows.schema[c] for c in names), StructField("sim", DoubleType())])
+    wide = spread(rows)
+    parts = (wide.mapInArrow(_searching(table.slice(at, best.QUERY_BLOCK), names, k), schema) for at in range(0, max(1, table.num_rows), best.QUERY_BLOCK))
+    return ranked(reduce(DataFrame.unionAll, parts), "dense_rank", F.desc("sim"), "length", "bm25_rank", k=k)
+
+
+def _searching(table: pa.Table, names: list[str], k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    n = table.num_rows
+    ids, skip, vectors = (pa.concat_arrays(table[c].chunks) if n else pa.array([], table.schema.field(c).type) for c in ("query_id", "skip", "embedding"))
+    widths = [int(w) for w in pc.unique(pc.drop_null(pc.list_value_length(vectors)))]
+    asked = [(w, *matrix(vectors, w)) for w in widths]
+    barred = pc.drop_null(pc.unique(skip))
+    number = pc.fill_null(pc.index_in(skip, value_set=barred), -1).to_numpy()
+    by_number = np.argsort(number, kind="stable")
+    ends = np.searchsorted(number[by_number], np.arange(len(barred) + 1))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = best.Best(k, n, "length", "bm25_rank")
+        for piece in best.pieces(batches, n) if n else ():
+            sims, known, found = np.full((piece.num_rows, n), -np.inf), np.zeros((piece.num_rows, n), bool), np.ones((piece.num_rows, n), bool)
+            for w, which, of_queries in asked:
+                here, of_rows = matrix(piece.column("embedding"), w)
+                whole = len(here) == piece.num_rows and len(which) == n
+                cells = slice(None) if whole else np.ix_(here, which)
+                sims[cells], known[cells] = of_rows @ of_queries.T, True
+            if np.isnan(sims).any():  # NaN comes first
+                odd = np.isnan(sims)
+                order = np.where(odd, np.inf, sims)
+            else:
+                odd, order = None, sims
+            same = pc.fill_null(pc.index_in(piece.column("doc_id"), value_set=barred), -1).to_numpy()
+            for row in np.nonzero(same >= 0)[0]:
+                found[row, by_number[ends[same[row]] : ends[same[row] + 1]]] = False
+            at, query = kept.hopeful(order, found, slack=1e-6)
+            sim = best.rounded(sims[at, query])
+            score = sim if odd is None else np.where(odd[at, query], np.inf, sim)
+            row = piece.select(names).take(pa.array(at))
+            kept.add(pa.table({"_query": query, **{c: row.column(c) for c in names}, "_score": score, "sim": pa.array(sim, mask=~known[at, query])}))
+        rows = kept.cut()
+        if rows is not None:
+            yield from rows.set_column(0, "query_id", ids.take(rows["_query"])).drop_columns(["_score"]).to_batches(10_000)
+
+    return search
+
+
 # ------------------------------------------------------------------ stand-ins
 
 

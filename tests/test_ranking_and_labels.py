@@ -275,7 +275,7 @@ def test_top_keeps_few_rows_in_a_task(spark, tmp_path, monkeypatch):
     assert kept.count() <= tokens.rdd.getNumPartitions() * 20 * 9 < len(every)
     monkeypatch.setattr(bm25, "MOST_BROADCAST_ROWS", 1)
     many = bm25.Index(tokens, bm25.DEFAULT)
-    monkeypatch.setattr(bm25, "checked", lambda df: (df, lambda other: other))
+    monkeypatch.setattr(bm25, "checked", lambda df, *most: (df, lambda other: other))
     assert many.asked(queries) is None
     assert sorted((tuple(r) for r in many.top(queries, 20).select(*fields).collect()), key=lambda r: (r[0], -r[3], r[1], r[2])) == expected
 
@@ -289,3 +289,26 @@ def test_hits_are_the_broadcast_side(spark, tmp_path):
     plan = cascade.candidates(index, queries, cascade.Cascade())._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "HashedRelationBroadcastMode" in plan
     assert not cascade.candidates(index, queries.where("query_id = 'q3'"), cascade.Cascade()).collect()
+
+
+def test_vector_search_ranks_inside_the_scan(spark, monkeypatch):
+    """As many rows as k a query and task leave the scan, and they are what ranking all pairs gives: ties, nulls, vectors of
+    another width, NaN and repeated ids included."""
+    from loomrank.operators import best
+
+    vectors = [[float(i * j % 5), float(j), 1.0] for j in range(4) for i in range(60)]
+    vectors = [*vectors, None, [1.0], [1.0, None, 2.0], [float("nan"), 1.0, 1.0], [-1e-7, 0.0, 0.0]]
+    rows = spark.createDataFrame([(f"e{i % 200}", v, i % 3, i) for i, v in enumerate(vectors)], "doc_id string, embedding array<float>, length int, bm25_rank int").repartition(3, "bm25_rank").cache()
+    asked = spark.createDataFrame([(f"q{i}", [1.0, -0.5, float(i)], f"e{i}") for i in range(7)] + [("n", None, None), ("w", [2.0], "e41")], "query_id string, embedding array<float>, skip string")
+    monkeypatch.setattr(best, "CELLS", 32)
+    monkeypatch.setattr(best, "QUERY_BLOCK", 4)
+    fields = ["query_id", "doc_id", "sim", "dense_rank", "bm25_rank"]
+    given = rows.join(asked.select("query_id", "skip"), ~F.col("doc_id").eqNullSafe(F.col("skip"))).drop("skip")
+    expected = sorted((tuple(r) for r in ranking.vector_top(asked, given, 9).select(*fields).collect()), key=repr)
+    found = ranking.vector_search(asked, rows, 9)
+    assert repr(sorted((tuple(r) for r in found.select(*fields).collect()), key=repr)) == repr(expected) and len(expected) == 81
+    assert "NestedLoopJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(bm25, "checked", lambda df, *most: (df, lambda other: other))
+    assert repr(sorted((tuple(r) for r in ranking.vector_search(asked, rows, 9).select(*fields).collect()), key=repr)) == repr(expected)
+    monkeypatch.undo()
+    assert ranking.vector_search(asked.where("query_id = 'x'"), rows, 9).count() == 0
