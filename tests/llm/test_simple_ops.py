@@ -191,6 +191,36 @@ def test_ids_are_those_of_whole_texts(texts):
         assert ids.tolist() == [*coder.tokenizer.encode(text, add_special_tokens=False).ids, 2], ascii(text)
 
 
+def test_simple_chunks_are_left_to_the_model(monkeypatch):
+    """Letters, digits and signs that the tokenizer changes one by one; all else goes through the whole tokenizer."""
+    coder = token_records.WordEncoder(token_records.vocabulary())
+    through, encoded = [], coder._encoded
+    monkeypatch.setattr(coder, "_encoded", lambda words: through.extend(words) or encoded(words))
+    odd = ["it's", "a<b", "J\u030c", "\u0130x", "\u4e2d", "e\u0301", "<|endoftext|>"]
+    text = " ".join(["Plain words,", "\u00d1and\u00fa.###", "x12-y_3", "\u039f\u0394\u039f\u03a3", "\u0436\u0416", "~~", *odd])
+    assert coder.encode([text], 2)[0].tolist() == [*coder.tokenizer.encode(text, add_special_tokens=False).ids, 2]
+    assert set(through) - {""} == set(odd)
+
+
+def test_every_simple_character_gives_the_ids_of_whole_texts():
+    coder = token_records.WordEncoder(token_records.vocabulary())
+    simple = [*map(chr, coder.form)]
+    assert {*"azAZ09.,#~", "\u00f1", "\u00d1", "\u0444"} <= set(simple) and not {"'", "<", "\u0130"} & set(simple)
+    texts = [f"{c} a{c}b {c}{c}, 1{c}2 {c}{d}.{c} {d}s{c}" for c, d in zip(simple, simple[7:] + simple[:7], strict=True)]
+    for text, ids in zip(texts, coder.encode(texts, 2), strict=True):
+        assert ids.tolist() == [*coder.tokenizer.encode(text, add_special_tokens=False).ids, 2], ascii(text)
+
+
+def test_special_tokens_of_simple_characters_are_found(tmp_path):
+    coder = token_records.WordEncoder(token_records.vocabulary())
+    coder.tokenizer.add_special_tokens(["[x]"])
+    coder.tokenizer.save(str(tmp_path / "t.json"))
+    coder = token_records.WordEncoder(str(tmp_path / "t.json"))
+    text = "one a[x]b two [x]"
+    assert coder.splits_at_space
+    assert coder.encode([text], 2)[0].tolist() == [*coder.tokenizer.encode(text, add_special_tokens=False).ids, 2]
+
+
 def test_other_tokenizers_encode_whole_texts():
     coder = token_records.WordEncoder(token_records.vocabulary("byte_bpe_50k.json"))
     assert not coder.splits_at_space
